@@ -31,9 +31,18 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows (bounded count)."""
+    """True when ``df`` provably has at most ``max_rows`` rows (bounded count).
+
+    The answer is remembered per session for the same plan (``semanticHash``:
+    same tables and same operators), so a dimension used by many jobs is
+    counted once.
+    """
     limit = broadcast_limit(df) if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
+    memo = df.sparkSession.__dict__.setdefault("_ledgerline_small", {})
+    key = (df.semanticHash(), limit)
+    if key not in memo:
+        memo[key] = df.limit(limit + 1).count() <= limit
+    return memo[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:

@@ -17,7 +17,8 @@ distributed steps only:
    partition count) -> running offsets -> broadcast -> global row number.
 
 ``rank`` is then the first row number among peers (equal partition and order
-keys), found by an aggregation with map-side combine and joined back;
+keys), found by an aggregation with map-side combine (a hot peer group
+collapses to one row per partition before the shuffle) and joined back;
 ``ntile`` is a closed formula of the row number and the total.
 """
 
@@ -29,7 +30,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import broadcast_if_small
 from ledgerline.session import ensure_checkpoint_dir
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
@@ -110,10 +110,12 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[K
     starts = seq.groupBy(*peers).agg(F.min("__rn").alias("__peer_start"))
     if partition_by:
         group_start = starts.groupBy(*partition_by).agg(F.min("__peer_start").alias("__grp_start"))
-        starts = _null_safe_join(starts, broadcast_if_small(group_start), partition_by)
+        starts = _null_safe_join(starts, group_start, partition_by)
         starts = starts.withColumn("__peer_start", F.col("__peer_start") - F.col("__grp_start") + 1) \
                        .drop("__grp_start")
-    ranked = _null_safe_join(seq, broadcast_if_small(starts), peers)
+    # Both sides come out of shuffles; AQE picks a broadcast from the measured
+    # size of ``starts`` or keeps the shuffle join and splits a hot peer group.
+    ranked = _null_safe_join(seq, starts, peers)
     return ranked.withColumn(out, F.col("__peer_start").cast("int")).drop("__rn", "__peer_start")
 
 
