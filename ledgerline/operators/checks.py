@@ -98,6 +98,12 @@ def untraceable_subscriptions(subs: DataFrame, pipeline: DataFrame) -> DataFrame
     """V9: subscriptions without a Won opportunity. The stage test belongs to the
     join's right side (filter, then anti-join): moving it after the join would
     report nothing. A null opportunity_id is reported."""
-    won = pipeline.filter(F.col("deal_stage") == "Won").select(F.col("opportunity_id").alias("__o"))
-    return subs.join(won, subs["opportunity_id"] == won["__o"], "left_anti") \
-               .select("subscription_id", "opportunity_id")
+    won = pipeline.filter(F.col("deal_stage") == "Won").select(
+        F.lit(False).alias("__nk"), F.col("opportunity_id").cast("string").alias("__jk"))
+    # A null key can never match, so such rows are always reported; the second
+    # key column spreads them over reducers instead of hashing all to one.
+    keyed = subs.withColumns({
+        "__nk": F.col("opportunity_id").isNull(),
+        "__jk": F.coalesce(F.col("opportunity_id").cast("string"), F.col("subscription_id").cast("string")),
+    })
+    return keyed.join(won, ["__nk", "__jk"], "left_anti").select("subscription_id", "opportunity_id")

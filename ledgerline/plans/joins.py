@@ -21,7 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# A dimension row here is a key and a few short columns (~100 bytes), so the
+# default keeps a broadcast in the tens of megabytes; raise it per session.
+DEFAULT_BROADCAST_ROWS = 250_000
 _CONF_KEY = "spark.ledgerline.broadcastMaxRows"
 
 

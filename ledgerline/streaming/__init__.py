@@ -1,0 +1,4 @@
+"""No streaming jobs: the reference has no stream, watermark or stateful operator.
+
+Every job in ``ledgerline.operators`` is a batch DataFrame transformation.
+"""
