@@ -31,6 +31,15 @@ CRM_COUNTRY_FIXES = {"NATON_7": "NATION_7", "NATION_9": "NATION_9, Republic of"}
 AS_OF = "2024-01-01"
 
 
+def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Reuse a bound role per session: a DataFrame is an immutable plan, so
+    sharing it between jobs caches no rows, only the analysis work."""
+    plans = spark.__dict__.setdefault("_ledgerline_plans", {})
+    if key not in plans:
+        plans[key] = build()
+    return plans[key]
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The test table as a DataFrame. The resolved scan (file listing and
     Parquet footer schema) is kept per session and reused by every job; it
@@ -148,23 +157,23 @@ class Roles:
 
     @property
     def accounts(self) -> DataFrame:
-        return accounts(self.spark, self.sf_dir)
+        return _memo(self.spark, ("accounts", self.sf_dir), lambda: accounts(self.spark, self.sf_dir))
 
     @property
     def products(self) -> DataFrame:
-        return products(self.spark, self.sf_dir)
+        return _memo(self.spark, ("products", self.sf_dir), lambda: products(self.spark, self.sf_dir))
 
     @property
     def sales_teams(self) -> DataFrame:
-        return sales_teams(self.spark, self.sf_dir)
+        return _memo(self.spark, ("sales_teams", self.sf_dir), lambda: sales_teams(self.spark, self.sf_dir))
 
     @property
     def pipeline(self) -> DataFrame:
-        return sales_pipeline(self.spark, self.sf_dir)
+        return _memo(self.spark, ("pipeline", self.sf_dir), lambda: sales_pipeline(self.spark, self.sf_dir))
 
     @property
     def subscriptions(self) -> DataFrame:
-        return derive_subscriptions(self.pipeline)
+        return _memo(self.spark, ("subscriptions", self.sf_dir), lambda: derive_subscriptions(self.pipeline))
 
     def table(self, name: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name)
