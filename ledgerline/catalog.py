@@ -1,9 +1,11 @@
 """Every named job bound to the test tables: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Each entry reads the given tables (through ``sources.bindings``) in full and
-returns a lazy DataFrame; only the ranked jobs materialise an intermediate
-checkpoint, and the I/O jobs write into a fresh folder under the session's
-checkpoint directory.
+The generic jobs come from ``ledgerline.jobs`` applied to the bound tables.
+A few entries use a test fixture instead (FIXTURES section 4) so that checks
+which are empty on clean data have rows to find. Each entry reads the given
+tables in full and returns a lazy DataFrame; only the ranked jobs
+materialise a checkpoint, and the I/O jobs write into a fresh folder under
+the session's checkpoint directory.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators import checks, crm_export, marts, postsale, presale, subscriptions
+from ledgerline.jobs import JOBS, MARTS
+from ledgerline.operators import checks
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources import bindings as b
 from ledgerline.sources import files
@@ -27,28 +30,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-{label}-{uuid.uuid4().hex}"
 
 
-def _summary(r: b.Roles) -> DataFrame:
-    return marts.pipeline_summary(r.pipeline, r.products, r.sales_teams, r.accounts,
-                                  b.PRODUCT_FIXES, b.SECTOR_FIXES, b.LOCATION_FIXES)
-
-
-def _scorecard(r: b.Roles) -> DataFrame:
-    return marts.agent_scorecard(r.pipeline, r.sales_teams)
-
-
-def _retention(r: b.Roles) -> DataFrame:
-    return marts.retention_summary(r.subscriptions, b.PRODUCT_FIXES)
-
-
-def _opps(r: b.Roles) -> DataFrame:
-    return crm_export.crm_opportunities(r.pipeline, r.products, b.PRODUCT_FIXES, b.AS_OF)
-
-
-def _raw_tables(r: b.Roles) -> dict[str, DataFrame]:
-    return {"accounts": r.accounts, "products": r.products, "sales_teams": r.sales_teams,
-            "sales_pipeline": r.pipeline, "subscriptions": r.subscriptions}
-
-
 def _load_round_trip(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """L1 end to end: the bound roles are written as source CSVs, then loaded with
     the typed plan into Parquet tables; the loaded tables are returned.
@@ -59,7 +40,7 @@ def _load_round_trip(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     loaded = spark.__dict__.setdefault("_ledgerline_loaded", {})
     if sf_dir not in loaded:
         base = scratch_dir(spark, "load")
-        files.write_raw_csv(_raw_tables(b.roles(spark, sf_dir)), f"{base}/raw", f"{base}/processed")
+        files.write_raw_csv(b.tables(spark, sf_dir).raw(), f"{base}/raw", f"{base}/processed")
         loaded[sf_dir] = files.load_raw(spark, files.default_plan(f"{base}/raw", f"{base}/processed"),
                                         f"{base}/tables")
     return loaded[sf_dir]
@@ -67,10 +48,8 @@ def _load_round_trip(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three marts written as CSV, then counted back from the files."""
-    r = b.roles(spark, sf_dir)
-    out = scratch_dir(spark, "marts")
-    paths = files.export_marts({"vw_pipeline_summary": _summary(r), "vw_agent_scorecard": _scorecard(r),
-                                "vw_retention_summary": _retention(r)}, out)
+    t = b.tables(spark, sf_dir)
+    paths = files.export_marts({name: fn(t) for name, fn in MARTS.items()}, scratch_dir(spark, "marts"))
     counted = None
     for name, path in paths.items():
         c = spark.read.option("header", True).csv(path).agg(F.count(F.lit(1)).alias("row_count")) \
@@ -79,77 +58,23 @@ def _export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted
 
 
-def _q(fn: Callable[[b.Roles], DataFrame]) -> Query:
-    return lambda spark, sf_dir: fn(b.roles(spark, sf_dir))
+def _job(name: str) -> Query:
+    return lambda spark, sf_dir: JOBS[name](b.tables(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
-    # load and validation
     "load_raw": lambda s, d: _load_round_trip(s, d)["sales_pipeline"],
-    "row_counts": lambda s, d: checks.row_counts(
-        {f"raw.{k}": v for k, v in _load_round_trip(s, d).items()}),
-    "validate_row_counts": _q(lambda r: checks.row_counts({f"raw.{k}": v for k, v in _raw_tables(r).items()})),
-    "orphans_by_stage": _q(lambda r: checks.orphans_by_stage(r.pipeline)),
+    "row_counts": lambda s, d: checks.row_counts({f"raw.{k}": v for k, v in _load_round_trip(s, d).items()}),
+}
+QUERIES.update({name: _job(name) for name in JOBS})
+QUERIES.update({
+    # fixtures with planted rows (FIXTURES section 4)
     "closed_orphans": lambda s, d: checks.closed_orphans(b.sales_pipeline(s, d, closed_orphan_every=500)),
-    "unknown_accounts": _q(lambda r: checks.unmatched_keys(r.pipeline, r.accounts, "account")),
-    "unknown_products": _q(lambda r: checks.unmatched_keys(r.pipeline, r.products, "product")),
-    "product_match_status": _q(lambda r: checks.product_match_status(r.pipeline, r.products)),
-    "null_audit_by_stage": _q(lambda r: checks.null_audit_by_stage(r.pipeline)),
-    "duplicate_opportunity_ids": _q(lambda r: checks.duplicate_keys(r.pipeline, ["opportunity_id"])),
-    "duplicate_keys": _q(lambda r: checks.duplicate_keys(r.table("lineitem"), ["l_orderkey", "l_linenumber"])),
-    "near_duplicate_accounts": _q(lambda r: checks.near_duplicate_names(r.accounts, "account")),
+    "duplicate_keys": lambda s, d: checks.duplicate_keys(b.read(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
     "near_duplicate_names": lambda s, d: checks.near_duplicate_names(b.region_name_variants(s, d), "account"),
-    "sector_typos": _q(lambda r: checks.values_like(r.accounts, "sector", "machinr%")),
-    "location_typos": _q(lambda r: checks.values_like(r.accounts, "office_location", "naton_7")),
+    "sector_typos": lambda s, d: checks.values_like(b.tables(s, d).accounts, "sector", "machinr%"),
+    "location_typos": lambda s, d: checks.values_like(b.tables(s, d).accounts, "office_location", "naton_7"),
     "untraceable_subscriptions": lambda s, d: checks.untraceable_subscriptions(
-        b.roles(s, d).subscriptions, b.sales_pipeline(s, d, lost_every=100)),
-    # pre-sale
-    "win_rate_overall": _q(lambda r: presale.win_rate(r.pipeline)),
-    "win_rate_by_product": _q(lambda r: presale.win_rate(r.pipeline, ["product"])),
-    "win_rate_by_agent": _q(lambda r: presale.win_rate(r.pipeline, ["sales_agent"])),
-    "win_rate_by_manager": _q(lambda r: presale.win_rate_by_team(r.pipeline, r.sales_teams, "manager")),
-    "win_rate_by_region": _q(lambda r: presale.win_rate_by_team(r.pipeline, r.sales_teams, "regional_office")),
-    "sales_cycle_by_product": _q(lambda r: presale.sales_cycle(r.pipeline, "product")),
-    "sales_cycle_by_agent": _q(lambda r: presale.sales_cycle(r.pipeline, "sales_agent")),
-    "pipeline_velocity": _q(lambda r: presale.pipeline_velocity(r.pipeline)),
-    "stage_snapshot": _q(lambda r: presale.stage_snapshot(r.pipeline)),
-    "engaging_branch_rates": _q(lambda r: presale.engaging_branch_rates(r.pipeline)),
-    "deal_size_by_product": _q(lambda r: presale.deal_size_by_product(r.pipeline)),
-    "deal_size_by_sector": _q(lambda r: presale.deal_size_by_sector(r.pipeline, r.accounts)),
-    "monthly_bookings": _q(lambda r: presale.monthly_bookings(r.pipeline)),
-    "agent_quarter_rank": _q(lambda r: presale.agent_quarter_rank(r.pipeline)),
-    "weighted_forecast": _q(lambda r: presale.weighted_forecast(r.pipeline, r.products, b.PRODUCT_FIXES)),
-    # post-sale
-    "grr_nrr": _q(lambda r: postsale.grr_nrr(r.subscriptions)),
-    "logo_churn": _q(lambda r: postsale.logo_churn(r.subscriptions)),
-    "expansion_rate": _q(lambda r: postsale.expansion_rate(r.subscriptions)),
-    "expansion_arr_by_product": _q(lambda r: postsale.expansion_arr_by_product(r.subscriptions)),
-    "churn_by_sector": _q(lambda r: postsale.churn_by_sector(r.subscriptions, r.accounts)),
-    "churn_by_size_quartile": _q(lambda r: postsale.churn_by_size_quartile(r.subscriptions)),
-    "churn_by_agent_top": _q(lambda r: postsale.churn_by_agent_top(r.subscriptions)),
-    # subscriptions
-    "derive_subscriptions": _q(lambda r: r.subscriptions),
-    "weighted_assignment": _q(lambda r: subscriptions.assignment_table(r.pipeline)),
-    "outcome_distribution": _q(lambda r: subscriptions.outcome_distribution(r.subscriptions)),
-    "retention_sanity": _q(lambda r: subscriptions.retention_sanity(r.subscriptions)),
-    "dropped_incomplete_won": _q(lambda r: subscriptions.dropped_incomplete_won(r.pipeline)),
-    # marts
-    "pipeline_summary": _q(_summary),
-    "agent_scorecard": _q(_scorecard),
-    "retention_summary": _q(_retention),
-    "summary_row_count": _q(lambda r: marts.summary_row_count(_summary(r))),
-    "distinct_products": _q(lambda r: marts.distinct_products(_summary(r))),
-    "retention_headline": _q(lambda r: marts.retention_headline(_retention(r))),
+        b.tables(s, d).subscriptions, b.sales_pipeline(s, d, lost_every=100)),
     "export_marts": _export_marts,
-    # CRM export
-    "crm_accounts": _q(lambda r: crm_export.crm_accounts(r.accounts, b.SECTOR_FIXES, b.CRM_COUNTRY_FIXES)),
-    "crm_opportunities": _q(_opps),
-    "export_reconciliation": _q(lambda r: crm_export.export_reconciliation(r.pipeline, _opps(r))),
-    "export_stage_distribution": _q(lambda r: crm_export.value_distribution(_opps(r), "Stage")),
-    "placeholder_counts": _q(lambda r: crm_export.placeholder_counts(r.pipeline)),
-    "export_product_distribution": _q(lambda r: crm_export.value_distribution(_opps(r), "Product")),
-    "attach_external_ids": lambda s, d: crm_export.attach_external_ids(
-        _opps(b.roles(s, d)), b.external_ids(s, d)),
-    "id_match_audit": lambda s, d: crm_export.id_match_audit(_opps(b.roles(s, d)), b.external_ids(s, d)),
-    "unmatched_sample": lambda s, d: crm_export.unmatched_sample(_opps(b.roles(s, d)), b.external_ids(s, d)),
-}
+})

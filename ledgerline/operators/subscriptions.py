@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import add_months_clamped
 from ledgerline.functions.ratios import cents, from_cents, money, pct_half_up, scaled_half_up
+from ledgerline.plans.ranking import asc, sequence
 
 
 @dataclass(frozen=True)
@@ -107,6 +108,17 @@ def derive_subscriptions(pipeline: DataFrame, seed=SEED, outcomes: Sequence[Outc
     )
 
 
+def number_subscriptions(subs: DataFrame, order_by: Sequence[str] = ("opportunity_id",),
+                         prefix: str = "SUB-", width: int = 5) -> DataFrame:
+    """Running ids ``SUB-00001`` ... in a fixed order (the reference
+    numbers in file order, which a distributed table does not have). The row
+    number is distributed (no single-partition window); ``format_string``
+    keeps every digit past ``width``, where ``lpad`` would cut them."""
+    seq = sequence(subs, [asc(c) for c in order_by], out="__seq")
+    return seq.withColumn("subscription_id", F.format_string(f"{prefix}%0{width}d", F.col("__seq"))) \
+              .select(*subs.columns)
+
+
 def assignment_table(pipeline: DataFrame, seed=SEED, outcomes: Sequence[Outcome] = OUTCOMES) -> DataFrame:
     """G2 as a table: opportunity_id, renewal_outcome, renewal_multiplier (4 dp)."""
     drawn = weighted_assignment(won_with_terms(pipeline).select("opportunity_id"), "opportunity_id",

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.config import Cleaning
 from ledgerline.operators.subscriptions import derive_subscriptions
 
 # Fixed values of the binding (the planted misspellings and their fixes).
@@ -29,6 +30,8 @@ LOCATION_FIXES = {"NATON_7": "NATION_7"}
 # The CRM export maps one more country spelling than the analytics layer.
 CRM_COUNTRY_FIXES = {"NATON_7": "NATION_7", "NATION_9": "NATION_9, Republic of"}
 AS_OF = "2024-01-01"
+CLEANING = Cleaning(product=PRODUCT_FIXES, sector=SECTOR_FIXES, location=LOCATION_FIXES,
+                    crm_country=CRM_COUNTRY_FIXES)
 
 
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
@@ -181,3 +184,18 @@ class Roles:
 
 def roles(spark: SparkSession, sf_dir: str) -> Roles:
     return Roles(spark, sf_dir)
+
+
+def tables(spark: SparkSession, sf_dir: str):
+    """The bound roles as a ``jobs.Tables`` (binding cleaning maps, fixed export date)."""
+    from ledgerline.jobs import Tables
+
+    def build():
+        r = roles(spark, sf_dir)
+        return Tables(accounts=r.accounts, products=r.products, sales_teams=r.sales_teams, pipeline=r.pipeline,
+                      subscriptions_table=r.subscriptions, external_ids=external_ids(spark, sf_dir),
+                      cleaning=CLEANING, as_of=AS_OF)
+    cache = spark.__dict__.setdefault("_ledgerline_tables", {})
+    if sf_dir not in cache:
+        cache[sf_dir] = build()
+    return cache[sf_dir]
