@@ -77,15 +77,22 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def near_duplicate_names(df: DataFrame, col: str) -> DataFrame:
-    """V7: names equal after lower(trim()), with their variants in sorted order.
+    """V7: names equal after lower(trim()), with all their values in sorted order.
 
-    Null names form one group (variants then null). The variant list is, by
-    definition, one string per group.
+    Exact repeats are counted first (map-side), so a normalized name shared by
+    a large part of the table reaches the final task as one row per distinct
+    spelling; the variant list is then assembled from (spelling, count) pairs,
+    its size being that of the output. Null names form one group (variants
+    null).
     """
     norm = F.lower(F.trim(F.col(col)))
-    grouped = df.groupBy(norm.alias("normalized_name")).agg(
-        F.count(F.lit(1)).alias("occurrences"),
-        F.expr(f"listagg(`{col}`, ', ') WITHIN GROUP (ORDER BY `{col}`)").alias("variants"))
+    spelled = df.groupBy(norm.alias("normalized_name"), F.col(col).alias("__v")) \
+                .agg(F.count(F.lit(1)).alias("__k"))
+    piece = F.when(F.col("__v").isNotNull(),
+                   F.array_join(F.array_repeat(F.col("__v"), F.col("__k").cast("int")), ", ")).alias("__piece")
+    grouped = spelled.select("normalized_name", "__v", "__k", piece).groupBy("normalized_name").agg(
+        F.sum("__k").alias("occurrences"),
+        F.expr("listagg(__piece, ', ') WITHIN GROUP (ORDER BY __v)").alias("variants"))
     return grouped.filter(F.col("occurrences") > 1)
 
 

@@ -4,10 +4,12 @@ Fact tables (pipeline, subscriptions) grow with the data; dimensions may or
 may not (7 products and 35 agents in the reference, but accounts grow with the
 customer base). So no dimension is broadcast on faith:
 
-* ``broadcast_if_small`` runs a bounded count (``limit(n + 1).count()``: it
-  stops once ``n + 1`` rows are seen) and hints the broadcast only when the
-  dimension is proven to hold at most ``n`` rows. Beyond that the join stays a
-  shuffle join and AQE may still switch it at runtime from real sizes.
+* ``broadcast_if_small`` counts the dimension (a distributed count: one
+  partial count per task, no row leaves its task) and hints the broadcast only
+  when it holds at most ``n`` rows. Beyond that the join stays a shuffle join
+  and AQE may still switch it at runtime from measured sizes. (A
+  ``limit(n + 1).count()`` would funnel up to ``n`` rows per partition into a
+  single task before counting, so it is not used.)
 * In a shuffle join every null key hashes to the same reducer. Open deals
   without an account are a third of the open pipeline, so ``join_dimension``
   spreads null-key rows over all reducers with a second key column: rows with
@@ -33,7 +35,7 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows (bounded count).
+    """True when ``df`` has at most ``max_rows`` rows (counted, not estimated).
 
     The answer is remembered per session for the same plan (``semanticHash``:
     same tables and same operators), so a dimension used by many jobs is
@@ -43,7 +45,7 @@ def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
     memo = df.sparkSession.__dict__.setdefault("_ledgerline_small", {})
     key = (df.semanticHash(), limit)
     if key not in memo:
-        memo[key] = df.limit(limit + 1).count() <= limit
+        memo[key] = df.count() <= limit
     return memo[key]
 
 
