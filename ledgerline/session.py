@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is. Only when nothing is configured (a bare local test session) a
     private folder is created, so ``DataFrame.checkpoint`` can run.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server's configuration applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
