@@ -22,10 +22,10 @@ SESSION_DEFAULTS = {
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "ledgerline") -> SparkSession:
+                  app_name: str = "ledgerline", extra: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster use the provided session."""
     builder = SparkSession.builder.master(master).appName(app_name)
-    for key, value in SESSION_DEFAULTS.items():
+    for key, value in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "16g"))
