@@ -18,6 +18,8 @@ SESSION_DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # drop the ranking checkpoints once their DataFrames are garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
