@@ -16,10 +16,12 @@ distributed steps only:
 3. Rows per range partition (one row per partition, so bounded by the
    partition count) -> running offsets -> broadcast -> global row number.
 
-``rank`` is then the first row number among peers (equal partition and order
-keys), found by an aggregation with map-side combine (a hot peer group
-collapses to one row per partition before the shuffle) and joined back;
-``ntile`` is a closed formula of the row number and the total.
+``rank`` is then the row number of the first peer (equal partition and order
+keys): a window over (range partition, peer key) finds it inside each range
+partition, and a one-row-per-partition summary carries it across partition
+boundaries (see ``_first_of_group``); no join on the peer key, so a hot peer
+group stays split. ``ntile`` is a closed formula of the row number and the
+total.
 """
 
 from __future__ import annotations
@@ -58,20 +60,11 @@ def desc(name: str, nulls_first: bool = False) -> Key:
     return Key(name, False, nulls_first)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                           *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        term = left[k].eqNullSafe(renamed[f"__r_{k}"])
-        cond = term if cond is None else cond & term
-    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
-
-
 def sequence(df: DataFrame, keys: Sequence[Key], out: str = "_rn",
-             total: str | None = None) -> DataFrame:
+             total: str | None = None, keep_position: bool = False) -> DataFrame:
     """Add ``out``: 1-based global row number in the order ``keys`` (make it total
-    with a unique tiebreak key). Optionally ``total``: the number of rows."""
+    with a unique tiebreak key). Optionally ``total``: the number of rows;
+    ``keep_position`` keeps ``__pid`` / ``__pos`` (range partition, position in it)."""
     ensure_checkpoint_dir(df.sparkSession)
     orders = [k.order() for k in keys]
     ranged = (df.repartitionByRange(*orders)
@@ -94,7 +87,47 @@ def sequence(df: DataFrame, keys: Sequence[Key], out: str = "_rn",
     numbered = numbered.withColumn(out, F.col("__off") + F.col("__pos") + 1)
     if total:
         numbered = numbered.withColumn(total, F.col("__total"))
-    return numbered.drop("__mid", "__pid", "__pos", "__off", "__total")
+    dropped = ["__mid", "__off", "__total"] + ([] if keep_position else ["__pid", "__pos"])
+    return numbered.drop(*dropped)
+
+
+def _first_of_group(seq: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """``out``: the global row number of the first row whose ``keys`` equal this row's.
+
+    Rows with equal keys are contiguous in row-number order, so the first row
+    of a group is either in the row's own range partition (``local``: a window
+    over (partition, keys), whose groups are bounded by the partition size) or
+    the group started in an earlier partition. The latter is resolved on a
+    summary with one row per range partition (first key, last key, start of
+    its last group): a partition whose first key equals the previous
+    partition's last key continues that group, and the group's start is the
+    last-group start of the nearest earlier partition that is not itself a
+    pure continuation. Nulls compare equal, as peers do in RANK.
+    """
+    local = seq.withColumn("__ls", F.min("__rn").over(Window.partitionBy("__pid", *keys)))
+    first = [F.min_by(F.col(k), F.col("__pos")).alias(f"__f{i}") for i, k in enumerate(keys)]
+    last = [F.max_by(F.col(k), F.col("__pos")).alias(f"__l{i}") for i, k in enumerate(keys)]
+    summary = local.groupBy("__pid").agg(*first, *last, F.max_by("__ls", "__pos").alias("__last_start"))
+    # Windows over the summary run on one row per range partition (bounded).
+    order = Window.orderBy("__pid")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    connected = F.lag("__pid").over(order).isNotNull()
+    for i in range(len(keys)):
+        connected = connected & F.col(f"__f{i}").eqNullSafe(F.lag(f"__l{i}").over(order))
+    whole = F.lit(True)
+    for i in range(len(keys)):
+        whole = whole & F.col(f"__f{i}").eqNullSafe(F.col(f"__l{i}"))
+    summary = summary.withColumns({"__conn": connected, "__pass": connected & whole})
+    carry = summary.select(
+        "__pid", *[f"__f{i}" for i in range(len(keys))],
+        F.when(F.col("__conn"), F.last(F.when(~F.col("__pass"), F.col("__last_start")), ignorenulls=True)
+               .over(before)).alias("__carry"))
+    joined = local.join(F.broadcast(carry), "__pid")
+    same_as_first = F.lit(True)
+    for i, k in enumerate(keys):
+        same_as_first = same_as_first & F.col(k).eqNullSafe(F.col(f"__f{i}"))
+    start = F.when(F.col("__carry").isNotNull() & same_as_first, F.col("__carry")).otherwise(F.col("__ls"))
+    return joined.withColumn(out, start).drop("__ls", "__carry", *[f"__f{i}" for i in range(len(keys))])
 
 
 def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Key],
@@ -102,21 +135,25 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[K
     """``RANK() OVER (PARTITION BY partition_by ORDER BY order_by)`` as INT.
 
     ``tiebreak`` (unique together with the other keys) only spreads peers over
-    range partitions; it does not change any rank.
+    range partitions; it does not change any rank. The rank is the row number
+    of the first peer minus that of the first row of the partition group, both
+    found without a join on the peer key (a hot peer group never meets in
+    one task).
     """
     part_keys = [Key(p, True, True) for p in partition_by]
-    seq = sequence(df, [*part_keys, *order_by, *tiebreak], out="__rn")
+    seq = sequence(df, [*part_keys, *order_by, *tiebreak], out="__rn", keep_position=True)
     peers = [*partition_by, *[k.name for k in order_by]]
-    starts = seq.groupBy(*peers).agg(F.min("__rn").alias("__peer_start"))
     if partition_by:
-        group_start = starts.groupBy(*partition_by).agg(F.min("__peer_start").alias("__grp_start"))
-        starts = _null_safe_join(starts, group_start, partition_by)
-        starts = starts.withColumn("__peer_start", F.col("__peer_start") - F.col("__grp_start") + 1) \
-                       .drop("__grp_start")
-    # Both sides come out of shuffles; AQE picks a broadcast from the measured
-    # size of ``starts`` or keeps the shuffle join and splits a hot peer group.
-    ranked = _null_safe_join(seq, starts, peers)
-    return ranked.withColumn(out, F.col("__peer_start").cast("int")).drop("__rn", "__peer_start")
+        # group pass first: its exchange on (range partition, group) also
+        # serves the peer window, whose keys extend the group's
+        ranked = _first_of_group(seq, list(partition_by), "__grp_start")
+        ranked = _first_of_group(ranked, peers, "__peer_start")
+        rank = F.col("__peer_start") - F.col("__grp_start") + 1
+    else:
+        ranked = _first_of_group(seq, peers, "__peer_start")
+        rank = F.col("__peer_start")
+    return ranked.withColumn(out, rank.cast("int")) \
+                 .drop("__rn", "__pid", "__pos", "__peer_start", "__grp_start")
 
 
 def ntile(df: DataFrame, k: int, order_by: Sequence[Key], out: str = "ntile") -> DataFrame:
