@@ -4,10 +4,10 @@
     python -m ledgerline load --raw-dir data/raw --processed-dir data/processed --warehouse wh
     python -m ledgerline run win_rate_by_manager grr_nrr --warehouse wh
     python -m ledgerline sql "SELECT * FROM analytics_vw_retention_summary" --warehouse wh
-    python -m ledgerline export-marts --warehouse wh --out-dir data/processed/tableau
-    python -m ledgerline crm-export --raw-dir data/raw --out-dir data/processed/salesforce --as-of 2024-01-01
+    python -m ledgerline export-marts --warehouse wh --out-dir data/processed/marts
+    python -m ledgerline crm-export --raw-dir data/raw --out-dir data/processed/crm --as-of 2024-01-01
     python -m ledgerline merge-ids --ids accounts_export.csv \
-        --opportunities data/processed/salesforce/sfdc_opportunities_import.csv --out with_ids.csv
+        --opportunities data/processed/crm/crm_opportunities_import.csv --out with_ids.csv
 
 CSV inputs are read with the typed schemas (``ledgerline.schemas``); outputs
 are CSV directories (``--single-file`` writes one part file for small
@@ -103,9 +103,9 @@ def cmd_crm(spark: SparkSession, a) -> None:
     t = Tables(accounts=read("accounts", schemas.ACCOUNTS), products=read("products", schemas.PRODUCTS),
                sales_teams=spark.createDataFrame([], schemas.SALES_TEAMS),  # not used by the export
                pipeline=read("sales_pipeline", schemas.SALES_PIPELINE), as_of=a.as_of)
-    files.write_csv(JOBS["crm_accounts"](t), f"{a.out_dir}/sfdc_accounts_import.csv", a.single_file)
-    files.write_csv(JOBS["crm_opportunities"](t), f"{a.out_dir}/sfdc_opportunities_import.csv", a.single_file)
-    written = files.read_csv(spark, f"{a.out_dir}/sfdc_opportunities_import.csv", OPPORTUNITY_IMPORT,
+    files.write_csv(JOBS["crm_accounts"](t), f"{a.out_dir}/crm_accounts_import.csv", a.single_file)
+    files.write_csv(JOBS["crm_opportunities"](t), f"{a.out_dir}/crm_opportunities_import.csv", a.single_file)
+    written = files.read_csv(spark, f"{a.out_dir}/crm_opportunities_import.csv", OPPORTUNITY_IMPORT,
                              "opportunities import")
     rec = crm_export.export_reconciliation(t.pipeline, written)
     rec.show()

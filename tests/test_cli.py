@@ -34,16 +34,16 @@ def test_reference_workflow(spark, capsys):
     assert cli.main(["sql", "SELECT COUNT(*) AS n FROM analytics_vw_pipeline_summary", "--warehouse", wh]) == 0
     assert str(t.pipeline.count()) in capsys.readouterr().out
 
-    assert cli.main(["export-marts", "--warehouse", wh, "--out-dir", f"{base}/tableau"]) == 0
-    assert sorted(os.listdir(f"{base}/tableau")) == ["vw_agent_scorecard", "vw_pipeline_summary",
+    assert cli.main(["export-marts", "--warehouse", wh, "--out-dir", f"{base}/marts"]) == 0
+    assert sorted(os.listdir(f"{base}/marts")) == ["vw_agent_scorecard", "vw_pipeline_summary",
                                                       "vw_retention_summary"]
 
     assert cli.main(["crm-export", "--raw-dir", raw, "--out-dir", f"{base}/sf", "--as-of", "2024-01-01"]) == 0
-    opps = files.read_csv(spark, f"{base}/sf/sfdc_opportunities_import.csv", cli.OPPORTUNITY_IMPORT)
+    opps = files.read_csv(spark, f"{base}/sf/crm_opportunities_import.csv", cli.OPPORTUNITY_IMPORT)
     assert opps.count() == t.pipeline.filter(F.col("account").isNotNull()).count()
 
     assert cli.main(["merge-ids", "--ids", f"{base}/ids.csv", "--opportunities",
-                     f"{base}/sf/sfdc_opportunities_import.csv", "--out", f"{base}/with_ids.csv"]) == 0
+                     f"{base}/sf/crm_opportunities_import.csv", "--out", f"{base}/with_ids.csv"]) == 0
     merged = spark.read.option("header", True).csv(f"{base}/with_ids.csv")
     assert merged.columns[:2] == ["Opportunity Name", "AccountId"] and "Account Name" not in merged.columns
     assert 0 < merged.count() < opps.count()
