@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from ledgerline.functions.cleaning import canonicalize_values, mapped
 from ledgerline.functions.dates import add_months_clamped, day_diff
