@@ -49,7 +49,7 @@ def _session() -> SparkSession:
 
 
 def _warehouse_tables(spark: SparkSession, warehouse: str, ids: str | None, as_of: str | None) -> Tables:
-    read = {name: spark.read.parquet(f"{warehouse}/{name}") for name in schemas.RAW_TABLES}
+    read = {name: files.read_table(spark, f"{warehouse}/{name}", st) for name, st in schemas.RAW_TABLES.items()}
     ext = files.read_csv(spark, ids, schemas.EXTERNAL_IDS, "external ids") if ids else None
     return Tables(accounts=read["accounts"], products=read["products"], sales_teams=read["sales_teams"],
                   pipeline=read["sales_pipeline"], subscriptions_table=read["subscriptions"], external_ids=ext,

@@ -22,11 +22,13 @@ from ledgerline import schemas
 
 @dataclass(frozen=True)
 class LoadStep:
-    """One entry of a load plan: source path, target table, schema (column order)."""
+    """One entry of a load plan: source path, target table, schema (column order)
+    and the columns the written table is partitioned by (directory pruning)."""
 
     path: str
     table: str
     schema: T.StructType
+    partition_by: tuple[str, ...] = ()
 
 
 def default_plan(raw_dir: str, processed_dir: str) -> list[LoadStep]:
@@ -35,7 +37,9 @@ def default_plan(raw_dir: str, processed_dir: str) -> list[LoadStep]:
         LoadStep(f"{raw_dir}/accounts.csv", "accounts", schemas.ACCOUNTS),
         LoadStep(f"{raw_dir}/products.csv", "products", schemas.PRODUCTS),
         LoadStep(f"{raw_dir}/sales_teams.csv", "sales_teams", schemas.SALES_TEAMS),
-        LoadStep(f"{raw_dir}/sales_pipeline.csv", "sales_pipeline", schemas.SALES_PIPELINE),
+        # Most jobs filter on the stage (Won, Lost, open): one directory per stage
+        # lets a Won-only job read only the Won files.
+        LoadStep(f"{raw_dir}/sales_pipeline.csv", "sales_pipeline", schemas.SALES_PIPELINE, ("deal_stage",)),
         LoadStep(f"{processed_dir}/subscriptions.csv", "subscriptions", schemas.SUBSCRIPTIONS),
     ]
 
@@ -54,6 +58,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, table: str |
     return df.select(*[f.name for f in schema.fields])
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A loaded Parquet table with its declared schema (so partition values are
+    typed by the schema, never inferred from directory names) in schema order
+    (partition columns would otherwise come last)."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Fail early when a required selection is empty (e.g. no Won deals)."""
     if df.isEmpty():
@@ -69,8 +80,8 @@ def load_raw(spark: SparkSession, plan: Sequence[LoadStep], out_dir: str | None
         df = read_csv(spark, step.path, step.schema, step.table)
         if out_dir:
             target = f"{out_dir}/{step.table}"
-            df.write.mode("overwrite").parquet(target)
-            df = spark.read.parquet(target)
+            df.write.mode("overwrite").partitionBy(*step.partition_by).parquet(target)
+            df = read_table(spark, target, step.schema)
         tables[step.table] = df
     return tables
 

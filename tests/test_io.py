@@ -45,3 +45,20 @@ def test_require_rows(spark):
     empty = spark.createDataFrame([], schemas.PRODUCTS)
     with pytest.raises(ValueError, match="Won"):
         files.require_rows(empty, "deal_stage == 'Won'")
+
+
+def test_loaded_pipeline_is_pruned_by_stage(spark):
+    from pyspark.sql import functions as F
+    base = tempfile.mkdtemp(prefix="ledgerline-io-")
+    rows = [(f"o{i}", "a", "p", "c", stage, dt.date(2017, 1, 2), None, None)
+            for i, stage in enumerate(["Won", "Lost", "Engaging", None] * 5)]
+    files.write_csv(spark.createDataFrame(rows, schemas.SALES_PIPELINE), f"{base}/raw/sales_pipeline.csv")
+    step = files.LoadStep(f"{base}/raw/sales_pipeline.csv", "sales_pipeline", schemas.SALES_PIPELINE,
+                          ("deal_stage",))
+    loaded = files.load_raw(spark, [step], f"{base}/tables")["sales_pipeline"]
+    assert loaded.schema.fieldNames() == schemas.SALES_PIPELINE.fieldNames()
+    assert loaded.filter(F.col("deal_stage").isNull()).count() == 5
+    won = loaded.filter(F.col("deal_stage") == "Won")
+    assert won.count() == 5
+    plan = won._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(deal_stage" in plan and "Won" in plan
