@@ -109,7 +109,8 @@ def placeholder_counts(pipeline: DataFrame) -> DataFrame:
 
 def _with_match(opportunities: DataFrame, ids: DataFrame) -> DataFrame:
     right = ids.select("Name", "Id").withColumn("__hit", F.lit(True))
-    # pandas' merge matches a null name to a null name: null-safe equality
+    # Plain equality: a null name never matches. A data-frame merge would pair
+    # null with null, but the export has no row without an account name.
     return join_dimension(opportunities, right, "Account Name", "Name", how="left",
                           spread_col="Opportunity_ID__c")
 
