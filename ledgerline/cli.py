@@ -48,8 +48,13 @@ def _session() -> SparkSession:
     return build_session(master="local[*]")
 
 
-def _warehouse_tables(spark: SparkSession, warehouse: str, ids: str | None, as_of: str | None) -> Tables:
-    read = {name: files.read_table(spark, f"{warehouse}/{name}", st) for name, st in schemas.RAW_TABLES.items()}
+def _warehouse_tables(spark: SparkSession, warehouse: str | None, ids: str | None, as_of: str | None,
+                      database: str | None = None) -> Tables:
+    if database:   # catalog tables keep their bucketing
+        read = {name: spark.table(f"`{database}`.`{name}`").select(*st.fieldNames())
+                for name, st in schemas.RAW_TABLES.items()}
+    else:
+        read = {name: files.read_table(spark, f"{warehouse}/{name}", st) for name, st in schemas.RAW_TABLES.items()}
     ext = files.read_csv(spark, ids, schemas.EXTERNAL_IDS, "external ids") if ids else None
     return Tables(accounts=read["accounts"], products=read["products"], sales_teams=read["sales_teams"],
                   pipeline=read["sales_pipeline"], subscriptions_table=read["subscriptions"], external_ids=ext,
@@ -70,13 +75,15 @@ def cmd_derive(spark: SparkSession, a) -> None:
 
 
 def cmd_load(spark: SparkSession, a) -> None:
-    tables = files.load_raw(spark, files.default_plan(a.raw_dir, a.processed_dir), a.warehouse)
+    plan = (files.bucketed_plan(a.raw_dir, a.processed_dir, a.buckets) if a.database
+            else files.default_plan(a.raw_dir, a.processed_dir))
+    tables = files.load_raw(spark, plan, a.warehouse, database=a.database)
     from ledgerline.operators.checks import row_counts
     row_counts({f"raw.{k}": v for k, v in tables.items()}).show()
 
 
 def cmd_run(spark: SparkSession, a) -> None:
-    t = _warehouse_tables(spark, a.warehouse, a.ids, a.as_of)
+    t = _warehouse_tables(spark, a.warehouse, a.ids, a.as_of, a.database)
     for name in a.jobs:
         if name not in JOBS:
             raise SystemExit(f"unknown job {name!r}; known: {', '.join(sorted(JOBS))}")
@@ -89,12 +96,12 @@ def cmd_run(spark: SparkSession, a) -> None:
 
 
 def cmd_sql(spark: SparkSession, a) -> None:
-    views.register_layers(_warehouse_tables(spark, a.warehouse, None, a.as_of))
+    views.register_layers(_warehouse_tables(spark, a.warehouse, None, a.as_of, a.database))
     spark.sql(a.statement).show(a.show, truncate=False)
 
 
 def cmd_export_marts(spark: SparkSession, a) -> None:
-    t = _warehouse_tables(spark, a.warehouse, None, None)
+    t = _warehouse_tables(spark, a.warehouse, None, None, a.database)
     files.export_marts({name: fn(t) for name, fn in MARTS.items()}, a.out_dir, a.single_file)
 
 
@@ -137,12 +144,15 @@ def parser() -> argparse.ArgumentParser:
     lo = sub.add_parser("load", help="L1/L2: typed CSV load into Parquet tables")
     lo.add_argument("--raw-dir", required=True)
     lo.add_argument("--processed-dir", required=True)
-    lo.add_argument("--warehouse", required=True)
+    lo.add_argument("--warehouse", required=True, help="folder of the table files")
+    lo.add_argument("--database", help="also register catalog tables, account-keyed ones bucketed")
+    lo.add_argument("--buckets", type=int, default=64)
     lo.set_defaults(fn=cmd_load)
 
     r = sub.add_parser("run", help="run named jobs on the loaded tables")
     r.add_argument("jobs", nargs="+")
-    r.add_argument("--warehouse", required=True)
+    r.add_argument("--warehouse", help="folder of the loaded tables")
+    r.add_argument("--database", help="read the loaded tables from this catalog database instead")
     r.add_argument("--ids", help="external id CSV (Name, Id) for the id-merge jobs")
     r.add_argument("--as-of", help="export date for crm jobs (default today)")
     r.add_argument("--out", help="write each result as CSV under this folder instead of showing it")
@@ -151,13 +161,15 @@ def parser() -> argparse.ArgumentParser:
 
     q = sub.add_parser("sql", help="SQL over raw_* and analytics_vw_* views")
     q.add_argument("statement")
-    q.add_argument("--warehouse", required=True)
+    q.add_argument("--warehouse", help="folder of the loaded tables")
+    q.add_argument("--database", help="read the loaded tables from this catalog database instead")
     q.add_argument("--as-of")
     q.add_argument("--show", type=int, default=20)
     q.set_defaults(fn=cmd_sql)
 
     e = sub.add_parser("export-marts", help="E1: the three marts as CSV")
-    e.add_argument("--warehouse", required=True)
+    e.add_argument("--warehouse", help="folder of the loaded tables")
+    e.add_argument("--database", help="read the loaded tables from this catalog database instead")
     e.add_argument("--out-dir", required=True)
     e.set_defaults(fn=cmd_export_marts)
 

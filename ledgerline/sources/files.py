@@ -29,6 +29,8 @@ class LoadStep:
     table: str
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
+    # (buckets, columns): hash-bucketed catalog table, used with ``database``
+    bucket_by: tuple[int, tuple[str, ...]] | None = None
 
 
 def default_plan(raw_dir: str, processed_dir: str) -> list[LoadStep]:
@@ -44,6 +46,23 @@ def default_plan(raw_dir: str, processed_dir: str) -> list[LoadStep]:
     ]
 
 
+def bucketed_plan(raw_dir: str, processed_dir: str, buckets: int = 64) -> list[LoadStep]:
+    """``default_plan`` with the account-keyed tables bucketed by account.
+
+    Pipeline, subscriptions and accounts hashed into the same buckets let the
+    per-account aggregations (deal size and churn by sector) and their join to
+    ``accounts`` run without a shuffle when ``accounts`` is too large to
+    broadcast. Needs a catalog (``load_raw(..., database=...)``).
+    """
+    by_account = (buckets, ("account",))
+    out = []
+    for step in default_plan(raw_dir, processed_dir):
+        if step.table in ("accounts", "sales_pipeline", "subscriptions"):
+            step = LoadStep(step.path, step.table, step.schema, step.partition_by, by_account)
+        out.append(step)
+    return out
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, table: str | None = None,
              date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Typed CSV scan with header; a missing input names its table."""
@@ -72,16 +91,35 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def load_raw(spark: SparkSession, plan: Sequence[LoadStep], out_dir: str | None = None) -> dict[str, DataFrame]:
+def load_raw(spark: SparkSession, plan: Sequence[LoadStep], out_dir: str | None = None,
+             database: str | None = None) -> dict[str, DataFrame]:
     """L1: typed load of every planned table; with ``out_dir``, full-refresh Parquet
-    write per table (S8) and the returned frames read the written tables."""
+    write per table (S8) and the returned frames read the written tables.
+
+    With ``database`` the tables are also registered in the catalog as
+    ``<database>.<table>`` (files under ``out_dir``), which is what lets Spark
+    use a step's ``bucket_by`` when reading.
+    """
+    if database and not out_dir:
+        raise ValueError("a catalog load needs out_dir for the table files")
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     tables: dict[str, DataFrame] = {}
     for step in plan:
         df = read_csv(spark, step.path, step.schema, step.table)
         if out_dir:
             target = f"{out_dir}/{step.table}"
-            df.write.mode("overwrite").partitionBy(*step.partition_by).parquet(target)
-            df = read_table(spark, target, step.schema)
+            writer = df.write.mode("overwrite").partitionBy(*step.partition_by)
+            if database:
+                name = f"`{database}`.`{step.table}`"
+                if step.bucket_by:
+                    n, cols = step.bucket_by
+                    writer = writer.bucketBy(n, *cols).sortBy(*cols)
+                writer.option("path", target).saveAsTable(name)
+                df = spark.table(name).select(*step.schema.fieldNames())
+            else:
+                writer.parquet(target)
+                df = read_table(spark, target, step.schema)
         tables[step.table] = df
     return tables
 

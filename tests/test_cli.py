@@ -31,6 +31,19 @@ def test_reference_workflow(spark, capsys):
     grr = spark.read.option("header", True).csv(f"{out}/grr_nrr").first()
     assert float(grr["grr_pct"]) == QUERIES["grr_nrr"](spark, SMALL).first()["grr_pct"]
 
+    db = "ledgerline_cli_test"
+    assert cli.main(["load", "--raw-dir", raw, "--processed-dir", processed, "--warehouse", f"{base}/wh2",
+                     "--database", db, "--buckets", "4"]) == 0
+    try:
+        assert cli.main(["run", "deal_size_by_sector", "--database", db, "--out", f"{base}/bucketed",
+                         "--single-file"]) == 0
+        assert cli.main(["run", "deal_size_by_sector", "--warehouse", wh, "--out", f"{base}/plain",
+                         "--single-file"]) == 0
+        read = lambda d: sorted(spark.read.option("header", True).csv(f"{base}/{d}/deal_size_by_sector").collect())
+        assert read("bucketed") == read("plain")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
     assert cli.main(["sql", "SELECT COUNT(*) AS n FROM analytics_vw_pipeline_summary", "--warehouse", wh]) == 0
     assert str(t.pipeline.count()) in capsys.readouterr().out
 

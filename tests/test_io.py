@@ -62,3 +62,38 @@ def test_loaded_pipeline_is_pruned_by_stage(spark):
     assert won.count() == 5
     plan = won._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(deal_stage" in plan and "Won" in plan
+
+
+def test_bucketed_tables_colocate_the_account_join(spark):
+    import uuid
+
+    from ledgerline.operators import presale
+    from ledgerline.sources import bindings as b
+
+    base = tempfile.mkdtemp(prefix="ledgerline-io-")
+    t = b.tables(spark, "/root/testdata/sf0.001")
+    files.write_raw_csv(t.raw(), f"{base}/raw", f"{base}/processed")
+    db = f"ledgerline_test_{uuid.uuid4().hex[:8]}"
+    loaded = files.load_raw(spark, files.bucketed_plan(f"{base}/raw", f"{base}/processed", buckets=8),
+                            f"{base}/wh", database=db)
+    expected = presale.deal_size_by_sector(t.pipeline, t.accounts).collect()
+    saved = spark.conf.get("spark.ledgerline.broadcastMaxRows", None)
+    spark.conf.set("spark.ledgerline.broadcastMaxRows", "0")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = presale.deal_size_by_sector(loaded["sales_pipeline"], loaded["accounts"])
+        assert sorted(df.collect()) == sorted(expected)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "hashpartitioning(account" not in plan        # both sides come bucketed by account
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        if saved is None:
+            spark.conf.unset("spark.ledgerline.broadcastMaxRows")
+        else:
+            spark.conf.set("spark.ledgerline.broadcastMaxRows", saved)
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
