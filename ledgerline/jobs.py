@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from ledgerline.config import REFERENCE_CLEANING, Cleaning
+from ledgerline.functions.cleaning import canonicalize_values
 from ledgerline.operators import checks, crm_export, marts, postsale, presale, subscriptions
 
 
@@ -78,6 +79,9 @@ MARTS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 JOBS: dict[str, Callable[[Tables], DataFrame]] = {
+    # cleaning
+    "canonicalize_values": lambda t: canonicalize_values(
+        t.accounts, {"sector": t.cleaning.sector, "office_location": t.cleaning.location}),
     # validation
     "validate_row_counts": lambda t: checks.row_counts({f"raw.{k}": v for k, v in t.raw().items()}),
     "orphans_by_stage": lambda t: checks.orphans_by_stage(t.pipeline),
