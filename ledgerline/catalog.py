@@ -71,7 +71,7 @@ QUERIES.update({
     # fixtures with planted rows (FIXTURES section 4)
     "closed_orphans": lambda s, d: checks.closed_orphans(b.sales_pipeline(s, d, closed_orphan_every=500)),
     "duplicate_keys": lambda s, d: checks.duplicate_keys(b.read(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
-    "near_duplicate_names": lambda s, d: checks.near_duplicate_names(b.region_name_variants(s, d), "account"),
+    "near_duplicate_names": lambda s, d: checks.near_duplicate_names(b.account_name_variants(s, d), "account"),
     "sector_typos": lambda s, d: checks.values_like(b.tables(s, d).accounts, "sector", "machinr%"),
     "location_typos": lambda s, d: checks.values_like(b.tables(s, d).accounts, "office_location", "naton_7"),
     "untraceable_subscriptions": lambda s, d: checks.untraceable_subscriptions(

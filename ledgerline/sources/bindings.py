@@ -146,11 +146,12 @@ def external_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.lit("001"), F.lpad(F.col("c_custkey").cast("string"), 15, "0")).alias("Id")))
 
 
-def region_name_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``region`` twice, the second copy re-cased and space-prefixed (V7 fixture)."""
-    r = read(spark, sf_dir, "region").select(F.col("r_name").alias("account"))
-    variant = r.select(F.upper(F.concat(F.lit(" "), F.lower("account"))).alias("account"))
-    return r.unionByName(variant)
+def account_name_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer name twice, the second copy re-cased and space-prefixed
+    (V7 fixture: one near-duplicate group per customer, so it grows with the data)."""
+    c = read(spark, sf_dir, "customer").select(F.col("c_name").alias("account"))
+    variant = c.select(F.upper(F.concat(F.lit(" "), F.lower("account"))).alias("account"))
+    return c.unionByName(variant)
 
 
 @dataclass
