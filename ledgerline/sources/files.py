@@ -125,9 +125,12 @@ def load_raw(spark: SparkSession, plan: Sequence[LoadStep], out_dir: str | None
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header and no index column; a directory of part files."""
+    """CSV with header and no index column; a directory of part files.
+    Values are written as they are (Spark's writer would otherwise strip
+    leading and trailing spaces)."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    (out.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def export_marts(marts: Mapping[str, DataFrame], out_dir: str, single_file: bool = False) -> dict[str, str]:

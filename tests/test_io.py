@@ -13,7 +13,7 @@ from ledgerline.sources import files
 
 def test_round_trip_keeps_types_and_nulls(spark):
     base = tempfile.mkdtemp(prefix="ledgerline-io-")
-    rows = [("o1", "a", "GTXPro", None, "Engaging", dt.date(2017, 1, 2), None, None),
+    rows = [("o1", " a", "GTXPro ", None, "Engaging", dt.date(2017, 1, 2), None, None),
             ("o2", "b", "MG", "acc", "Won", dt.date(2017, 1, 2), dt.date(2017, 2, 1), Decimal("12.50"))]
     src = spark.createDataFrame(rows, schemas.SALES_PIPELINE)
     files.write_csv(src, f"{base}/raw/sales_pipeline.csv", single_file=True)
