@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from ledgerline.functions.ratios import pct_half_up
 from ledgerline.plans.joins import broadcast_if_small
 
+# The match-status labels of the product check.
+NOT_IN_PRODUCTS = "NOT IN products table"
+IN_PRODUCTS = "matches products table"
+
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """V1 / L2: one row per table (table_name, row_count), by name."""
@@ -51,8 +55,7 @@ def product_match_status(pipeline: DataFrame, products: DataFrame) -> DataFrame:
     per_name = pipeline.groupBy("product").agg(F.count(F.lit(1)).alias("_n"))
     dim = broadcast_if_small(products.select(F.col("product").alias("__p")))
     joined = per_name.join(dim, per_name["product"] == dim["__p"], "left")
-    status = F.when(F.col("__p").isNull(), F.lit("NOT IN products table")) \
-              .otherwise(F.lit("matches products table"))
+    status = F.when(F.col("__p").isNull(), F.lit(NOT_IN_PRODUCTS)).otherwise(F.lit(IN_PRODUCTS))
     grouped = joined.groupBy(F.col("product").alias("pipeline_product_name"), F.col("__p")) \
                     .agg(F.sum("_n").alias("row_count"))
     return grouped.select("pipeline_product_name", "row_count", status.alias("match_status")) \

@@ -13,7 +13,8 @@ from ledgerline.functions.ratios import avg_half_up, cents, from_cents, pct_half
 from ledgerline.plans.joins import join_dimension
 from ledgerline.plans.ranking import asc, desc, rank_within
 
-# Forecast category of every stage in the summary mart.
+# Forecast category of every stage in the summary mart, and the
+# label of the retention mart's total row.
 FORECAST_CATEGORY = {"Prospecting": "Pipeline", "Engaging": "Commit", "Won": "Closed", "Lost": "Omitted"}
 TOTAL_LABEL = "ALL PRODUCTS"
 
