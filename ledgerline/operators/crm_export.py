@@ -76,13 +76,14 @@ def crm_opportunities(pipeline: DataFrame, products: DataFrame, product_fixes: M
 
 def export_reconciliation(pipeline: DataFrame, opportunities: DataFrame) -> DataFrame:
     """Source rows - rows without account = exported rows, as one row with a flag."""
-    src = pipeline.agg(F.count(F.lit(1)).alias("source_rows"),
-                       F.count_if(F.col("account").isNull()).alias("excluded_no_account"))
-    out = opportunities.agg(F.count(F.lit(1)).alias("actual_rows"))
-    # two one-row aggregates side by side
-    joined = src.crossJoin(out)
+    # one aggregation over both inputs (tagged rows of a union), no join
+    tagged = pipeline.select(F.lit(True).alias("__src"), F.col("account").isNull().alias("__excl")) \
+                     .unionByName(opportunities.select(F.lit(False).alias("__src"), F.lit(False).alias("__excl")))
+    counts = tagged.agg(F.count_if(F.col("__src")).alias("source_rows"),
+                        F.count_if(F.col("__src") & F.col("__excl")).alias("excluded_no_account"),
+                        F.count_if(~F.col("__src")).alias("actual_rows"))
     expected = F.col("source_rows") - F.col("excluded_no_account")
-    return joined.select("source_rows", "excluded_no_account", expected.alias("expected_rows"), "actual_rows",
+    return counts.select("source_rows", "excluded_no_account", expected.alias("expected_rows"), "actual_rows",
                          (expected == F.col("actual_rows")).alias("reconciled"))
 
 
