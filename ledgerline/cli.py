@@ -50,6 +50,8 @@ def _session() -> SparkSession:
 
 def _warehouse_tables(spark: SparkSession, warehouse: str | None, ids: str | None, as_of: str | None,
                       database: str | None = None) -> Tables:
+    if not (database or warehouse):
+        raise SystemExit("give --warehouse (table files) or --database (catalog tables)")
     if database:   # catalog tables keep their bucketing
         read = {name: spark.table(f"`{database}`.`{name}`").select(*st.fieldNames())
                 for name, st in schemas.RAW_TABLES.items()}
