@@ -16,8 +16,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline import schemas
 from ledgerline.jobs import JOBS, MARTS
 from ledgerline.operators import checks
+from ledgerline.operators.subscriptions import derive_subscriptions
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources import bindings as b
 from ledgerline.sources import files
@@ -31,8 +33,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def _load_round_trip(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """L1 end to end: the bound roles are written as source CSVs, then loaded with
-    the typed plan into Parquet tables; the loaded tables are returned.
+    """L1 end to end, in the reference's order: the four bound source tables are
+    written as CSV, subscriptions are derived from the pipeline CSV (G1) and
+    written next to them, then everything is loaded with the typed plan into
+    Parquet tables; the loaded tables are returned.
 
     As in the reference, the load runs once and later steps (L2's counts) read
     the loaded tables: the result is kept per session and test-data folder.
@@ -40,9 +44,14 @@ def _load_round_trip(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     loaded = spark.__dict__.setdefault("_ledgerline_loaded", {})
     if sf_dir not in loaded:
         base = scratch_dir(spark, "load")
-        files.write_raw_csv(b.tables(spark, sf_dir).raw(), f"{base}/raw", f"{base}/processed")
-        loaded[sf_dir] = files.load_raw(spark, files.default_plan(f"{base}/raw", f"{base}/processed"),
-                                        f"{base}/tables")
+        raw, processed = f"{base}/raw", f"{base}/processed"
+        t = b.tables(spark, sf_dir)
+        for name, df in {"accounts": t.accounts, "products": t.products, "sales_teams": t.sales_teams,
+                         "sales_pipeline": t.pipeline}.items():
+            files.write_csv(df, f"{raw}/{name}.csv")
+        source = files.read_csv(spark, f"{raw}/sales_pipeline.csv", schemas.SALES_PIPELINE, "sales_pipeline")
+        files.write_csv(derive_subscriptions(source), f"{processed}/subscriptions.csv")
+        loaded[sf_dir] = files.load_raw(spark, files.default_plan(raw, processed), f"{base}/tables")
     return loaded[sf_dir]
 
 
