@@ -7,17 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontam, quality, simhash
-from ledgerline.llm.common import ship_package, table
+from ledgerline.llm import decontam, pieces, quality, simhash, toxicity
+from ledgerline.llm.common import id_remainder, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.tag(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    return scored.select("doc_id", (id_remainder("doc_id", toxicity.HELD_OUT_MOD) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_texts(table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "doc_id", "variant", F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless")
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -36,7 +48,9 @@ def _shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {name: _shipped(q) for name, q in {
+    "op2_toxicity": op2,
     "op3_quality_rules": op3,
+    "op5_sentencepiece": op5,
     "op6_simhash": op6,
     "op7_decontamination": op7,
 }.items()}
