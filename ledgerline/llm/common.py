@@ -108,12 +108,10 @@ def pieces_of(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield a, len(sizes)
 
 
-def open_file(uri: str, mode: str):
-    """A file behind a local path or any URI that pyarrow's file systems open (file, hdfs, s3, gs)."""
+def file_system(uri: str):
+    """(pyarrow file system, path) of a local path or any URI that pyarrow opens (file, hdfs, s3, gs)."""
     from pyarrow import fs
 
-    store, path = fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + os.path.abspath(uri))
-    if mode == "w":
-        store.create_dir(os.path.dirname(path), recursive=True)
-        return store.open_output_stream(path, compression=None)
-    return store.open_input_file(path)
+    if "://" not in uri:
+        uri = "file://" + os.path.abspath(uri.removeprefix("file:"))
+    return fs.FileSystem.from_uri(uri)

@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontam, pieces, quality, simhash, toxicity
-from ledgerline.llm.common import id_remainder, ship_package, table
+from ledgerline.llm import decontam, pieces, quality, simhash, toxicity, warc
+from ledgerline.llm.common import drop_at_exit, id_remainder, scratch_path, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.archive(table(spark, sf_dir, "pages"), path)
+    drop_at_exit(spark, path)
+    back = warc.read_warc(spark, path, ["record_type", "record_id", "target_uri", "refers_to", "payload_digest", "payload_length", "payload"])
+    page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
+    # of a response the payload itself is measured, of a revisit what its headers say
+    own = F.col("record_type") == "response"
+    return back.select(
+        page("record_id").alias("page_id"), F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("payload_length")).alias("payload_bytes"),
+        F.when(own, warc.sha1_base32(F.col("payload"))).otherwise(F.substring_index("payload_digest", ":", -1)).alias("payload_digest"),
+        "record_type", page("refers_to").alias("refers_to"), F.col("target_uri").alias("url"))
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.tag(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), ["doc_id"])
@@ -48,6 +62,7 @@ def _shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {name: _shipped(q) for name, q in {
+    "op1_warc": op1,
     "op2_toxicity": op2,
     "op3_quality_rules": op3,
     "op5_sentencepiece": op5,
