@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontam, pieces, quality, simhash, toxicity, warc
+from ledgerline.llm import chat, decontam, langid, pieces, quality, sharding, simhash, toxicity, warc
 from ledgerline.llm.common import drop_at_exit, id_remainder, scratch_path, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder("doc_id", 4) == 2
+    return langid.predict(docs, langid.fit(docs.where(~held_out)), ["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", "variant", F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless")
@@ -53,6 +60,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_paths(chat.linear_nodes(rows.unionByName(more)))
+    return chat.read_back(formatted.withColumnRenamed("tree", "conv_id"), ["conv_id"])
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -65,7 +84,10 @@ QUERIES: dict[str, Query] = {name: _shipped(q) for name, q in {
     "op1_warc": op1,
     "op2_toxicity": op2,
     "op3_quality_rules": op3,
+    "op4_language_id": op4,
     "op5_sentencepiece": op5,
     "op6_simhash": op6,
     "op7_decontamination": op7,
+    "op8_sharding": op8,
+    "op10_chat_formatting": op10,
 }.items()}
