@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontam, langid, pieces, quality, sharding, simhash, toxicity, warc
+from ledgerline.llm import chat, decontam, html_text, langid, pieces, quality, sharding, simhash, toxicity, warc
 from ledgerline.llm.common import drop_at_exit, id_remainder, scratch_path, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), ["page_id"])
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
@@ -89,5 +93,6 @@ QUERIES: dict[str, Query] = {name: _shipped(q) for name, q in {
     "op6_simhash": op6,
     "op7_decontamination": op7,
     "op8_sharding": op8,
+    "op9_html_extraction": op9,
     "op10_chat_formatting": op10,
 }.items()}
