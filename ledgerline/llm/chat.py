@@ -42,7 +42,7 @@ from ledgerline.llm.common import stored
 # fixed values: what marks turns; any of these strings inside a text is escaped
 OPENERS = {"user": "[INST] ", "assistant": "[OUT] "}
 CLOSERS = {"user": " [/INST]", "assistant": "</s>"}
-_CONTROL = re.compile(r"([\[<])(?=(?:/?INST\]|OUT\]|/?TURN\b|/?s>))")
+_CONTROL = re.compile(r"([\[<])(?=/?INST\]|OUT\]|/?TURN|/?s>)")
 _MAX_ROUNDS = 40
 
 

@@ -1,3 +1,102 @@
-"""DuckDB statements for the operators that SQL can express."""
+"""DuckDB statements for the operators that SQL can express.
 
-ORACLE: dict[str, str] = {}
+The others have no statement: op2 (a trained random field), op4 (trained language
+models), op5 (an agenda with keyed drop-out), op6 (XXH64), op8 (an order by XXH64),
+op9 (a tree builder) and the pipeline that holds op2 and op5; tests hold them
+against brute-force versions, round trips and held-out rows.
+"""
+
+from __future__ import annotations
+
+from ledgerline.llm.quality import MIN_GROUP, MIN_WORDS, REACH, REPEAT_PERCENT, RULES
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SPACES = r"[\x20\x09-\x0D]"
+
+OP1 = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
+d AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS original FROM p)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((CAST('0x' || substr(hex, 1 + 5 * CAST(floor(i / 4) AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < original THEN original END AS refers_to, url
+FROM d
+"""
+
+
+def _op3() -> str:
+    value = lambda r: f"CASE WHEN {r.bottom} > 0 THEN {r.scale} * {r.top} // {r.bottom} END"
+    long = " UNION ALL ".join(
+        f"SELECT lang, source, '{r.name}' AS rule, {value(r)} AS v FROM m WHERE NOT base_failed AND {r.bottom} > 0" for r in RULES)
+
+    def quart(name: str, keys: str) -> str:
+        by = f"{keys}, rule" if keys else "rule"
+        head = f"{keys}, " if keys else ""
+        return f"""{name} AS (SELECT {head}rule, max(total) AS total, min(CASE WHEN 2 * up >= total THEN value END) AS q50,
+            min(CASE WHEN 4 * up >= 3 * total THEN value END) AS q75 FROM (
+            SELECT {head}rule, value, sum(n) OVER (PARTITION BY {by} ORDER BY value) AS up, sum(n) OVER (PARTITION BY {by}) AS total
+            FROM (SELECT {head}rule, value, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY ALL)"""
+
+    pick = lambda q: f"CASE WHEN f.total >= {MIN_GROUP} THEN f.{q} WHEN l.total >= {MIN_GROUP} THEN l.{q} ELSE e.{q} END"
+    slack = "CASE f.rule " + " ".join(f"WHEN '{r.name}' THEN {r.slack}" for r in RULES) + " END"
+    broken = " OR ".join(f"coalesce({value(r)} > top_{r.name}, false)" for r in RULES)
+    tops = ", ".join(f"max(CASE WHEN rule = '{r.name}' THEN top END) AS top_{r.name}" for r in RULES)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '{_SPACES}+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+tri AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (SELECT rid, count(DISTINCT j) AS n FROM (
+    SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM tri) WHERE c > 1) GROUP BY rid),
+b AS (SELECT w.rid, doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+    CAST(len(ls) AS BIGINT) AS n_lines, CAST(length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')) AS BIGINT) AS n_capitals
+    FROM w LEFT JOIN rep ON w.rid = rep.rid),
+m AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed FROM b),
+long AS ({long}),
+sketch AS (SELECT lang, source, rule, v - v % (1::BIGINT << greatest(length(bin(v)) - 6, 0)) AS value, count(*) AS n FROM long GROUP BY ALL),
+{quart("fine", "lang, source")}, {quart("by_lang", "lang")}, {quart("every", "")},
+cut AS (SELECT f.lang, f.source, f.rule, {pick("q75")} + greatest({REACH} * ({pick("q75")} - {pick("q50")}), {slack}) AS top
+    FROM fine f LEFT JOIN by_lang l ON f.lang IS NOT DISTINCT FROM l.lang AND f.rule = l.rule LEFT JOIN every e ON f.rule = e.rule),
+tops AS (SELECT lang, source, {tops} FROM cut GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({broken}) AS kept
+FROM m LEFT JOIN tops t ON m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source
+"""
+
+
+OP7 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS ws FROM benchmark),
+iw AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, l, array_to_string(list_slice(ws, i, i + l - 1), ' ') AS win FROM (
+    SELECT item_id, ws, least(10, len(ws)) AS l, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS i FROM b WHERE len(ws) > 0)),
+lens AS (SELECT DISTINCT l FROM iw),
+dw AS (SELECT rid, i, l, array_to_string(list_slice(ws, i, i + l - 1), ' ') AS win FROM (
+    SELECT rid, ws, l, unnest(range(1, len(ws) - l + 2)) AS i FROM d, lens WHERE len(ws) >= l)),
+m AS (SELECT dw.rid, dw.i, dw.l, iw.item FROM dw JOIN iw ON dw.win = iw.win AND dw.l = iw.l),
+h AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + l)) AS j FROM m) GROUP BY rid),
+o AS (SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM m) GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(o.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON d.rid = h.rid LEFT JOIN o ON d.rid = o.rid
+"""
+
+OP10 = r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS s FROM c),
+f AS (SELECT *, length(s) + length(s) - length(replace(s, '\', '')) + len(regexp_extract_all(s, '[\[<](?:/?INST\]|OUT\]|/?TURN|/?s>)')) AS body,
+    CASE r WHEN 'user' THEN 15 WHEN 'assistant' THEN 10
+    ELSE 16 + length(r) + length(r) - length(replace(r, '\', '')) + length(r) - length(replace(r, ']', ''))
+        + len(regexp_extract_all(r, '[\[<](?:/?INST\]|OUT\]|/?TURN|/?s>)')) END AS marks FROM t)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(r || chr(10) || s || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)) AS turns_sha256,
+    CAST(coalesce(sum(length(s)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(s, '' ORDER BY turn NULLS FIRST, text NULLS FIRST) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(body + marks) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {"op1_warc": OP1, "op3_quality_rules": _op3(), "op7_decontamination": OP7, "op10_chat_formatting": OP10}
