@@ -148,8 +148,8 @@ def _scan_part(docs: DataFrame, pairs: list[tuple[str, bytes]], keep: list[str],
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, keep: list[str] | None = None, text_col: str = "text",
                   max_automaton_chars: int = 50_000_000) -> DataFrame:
-    """The ``keep`` columns of ``docs`` plus n_words, hits (merged word ranges), spans (character offsets) and items."""
-    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
+    """The ``keep`` columns (doc_id) of ``docs`` plus n_words, hits (merged word ranges), spans (character offsets) and items."""
+    keep = ["doc_id"] if keep is None else keep
     wins = stored(item_windows(items, window), "windows")
     chars = wins.agg(F.sum(F.octet_length("win") + F.octet_length("item_id"))).head()[0] or 0
     if chars <= max_automaton_chars:
@@ -203,7 +203,5 @@ def digest(marked: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` without any hit word, with their own columns."""
-    marked = docs.select("*", F.col("text").alias(fresh(docs, "scanned")[0]))
-    scanned = marked.columns[-1]
-    kept = contamination(marked, items, window, keep=docs.columns, text_col=scanned)
-    return kept.where(F.size("hits") == 0).select(*docs.columns)
+    packed = docs.select("text", F.struct(*docs.columns).alias("row"))  # the caller's columns cannot clash with the marks
+    return contamination(packed, items, window, keep=["row"]).where(F.size("hits") == 0).select("row.*")

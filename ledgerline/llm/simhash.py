@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fresh, stored
+from ledgerline.llm.common import stored
 
 SEED = 42
 SEGMENTS, WIDTH = 4, 16  # a ring of four segments gives budgets 0, 1, 2, 3 for 3 bits
@@ -68,16 +68,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed 64-bit integer."""
+    return _with_prints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), "text", ["doc_id"], shingle)
 
+
+def _with_prints(rows: DataFrame, text: str, keep: list[str], shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
+            values = [fingerprint(t.as_py(), shingle) for t in batch.column(0)]
             fp = pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], fp], [*keep, "fp"])
 
-    id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, fp long")
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.select(text, *keep).mapInArrow(run, f"{fields}, fp long")
 
 
 def _chain_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,32 +281,35 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
+def print_roots(distinct: DataFrame, max_bits: int = 3, block_rows: int = 20_000) -> DataFrame:
+    """(fp, root): the group of every distinct fingerprint."""
+    roots = components(links(distinct, max_bits, block_rows))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
                     text_col: str = "text", block_rows: int = 20_000) -> DataFrame:
     """(doc_id, fp, component_id): one row per input row; component_id is the smallest reachable doc_id."""
     prints = stored(fingerprints(docs, shingle, id_col, text_col), "prints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    roots = components(links(distinct, max_bits, block_rows))
-    member = distinct.join(roots, distinct["fp"] == roots["node"], "left") \
-        .select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    member = distinct.join(print_roots(distinct, max_bits, block_rows), "fp")
     least = member.groupBy("root").agg(F.min("low").alias("component_id"))
     of_print = member.join(least, "root").select("fp", "component_id")
     # a fingerprint shared by very many documents is split by the skew-join handling; rows are narrow
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """One document of each group: the rows whose doc_id is the group's smallest; its repeated rows count once.
+def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 3, block_rows: int = 20_000) -> DataFrame:
+    """One row of each group, with its own columns: the smallest doc_id's (nulls last; of repeated rows any one).
 
-    A null doc_id is kept: it cannot be told apart from other rows by id.
+    Rows are stored once with their fingerprint and a row number, so the choice is made row by row, also
+    where ids repeat or are null; only the chosen numbers meet the texts again.
     """
-    groups = near_duplicates(docs, shingle, max_bits)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    n, = fresh(docs, "n")
-    twice = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias(n)).where((F.col(n) > 1) & F.col("doc_id").isNotNull()).select("doc_id")
-    twice = stored(twice, "twice")
-    if not twice.head(1):
-        return kept
-    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").unionByName(once)
+    packed = docs.select(F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"),
+                         F.monotonically_increasing_id().alias("uid"))
+    rows = stored(_with_prints(packed, "text", ["row", "id", "uid"], shingle), "printed")
+    distinct = stored(rows.select("fp").distinct(), "distinct")
+    of_print = print_roots(distinct, max_bits, block_rows)
+    per_print = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "uid")).alias("best"))
+    best = stored(per_print.join(of_print, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.uid"), "chosen")
+    return rows.join(best, "uid", "left_semi").select("row.*")
