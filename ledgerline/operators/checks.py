@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.ratios import pct_half_up
-from ledgerline.plans.joins import broadcast_if_small
 
 # The match-status labels of the product check.
 NOT_IN_PRODUCTS = "NOT IN products table"
@@ -42,7 +41,7 @@ def unmatched_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
     """V3: distinct non-null fact keys absent from the dimension (anti-join)."""
     dim_key = dim_key or fact_key
     keys = fact.select(fact_key).filter(F.col(fact_key).isNotNull()).distinct()
-    d = broadcast_if_small(dim.select(F.col(dim_key).alias("__dk")).filter(F.col("__dk").isNotNull()))
+    d = dim.select(F.col(dim_key).alias("__dk")).filter(F.col("__dk").isNotNull())
     return keys.join(d, keys[fact_key] == d["__dk"], "left_anti").orderBy(fact_key)
 
 
@@ -53,7 +52,7 @@ def product_match_status(pipeline: DataFrame, products: DataFrame) -> DataFrame:
     reference; a null product counts as not in the table.
     """
     per_name = pipeline.groupBy("product").agg(F.count(F.lit(1)).alias("_n"))
-    dim = broadcast_if_small(products.select(F.col("product").alias("__p")))
+    dim = products.select(F.col("product").alias("__p"))
     joined = per_name.join(dim, per_name["product"] == dim["__p"], "left")
     status = F.when(F.col("__p").isNull(), F.lit(NOT_IN_PRODUCTS)).otherwise(F.lit(IN_PRODUCTS))
     grouped = joined.groupBy(F.col("product").alias("pipeline_product_name"), F.col("__p")) \
@@ -80,25 +79,28 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def near_duplicate_names(df: DataFrame, col: str) -> DataFrame:
-    """V7: names equal after lower(trim()), with all their values in sorted order.
+    """V7: names equal after lower(trim()), with their distinct spellings in sorted order.
 
-    Exact repeats are counted first (map-side), so a normalized name shared by
-    a large part of the table reaches the final task as one row per distinct
-    spelling; the variant list is then assembled from (spelling, count) pairs,
-    its size being that of the output. Null names form one group (variants
-    null).
+    A spelling that occurs k > 1 times is listed once, as ``spelling xk``, so a
+    name repeated millions of times costs one row and one entry. Null names
+    form one group (variants null). ``name_spellings`` has the same facts as
+    rows, for names with very many spellings.
     """
-    norm = F.lower(F.trim(F.col(col)))
-    spelled = df.groupBy(norm.alias("normalized_name"), F.col(col).alias("__v")) \
-                .agg(F.count(F.lit(1)).alias("__k"))
-    piece = F.when(F.col("__v").isNotNull(),
-                   F.array_join(F.array_repeat(F.col("__v"), F.col("__k").cast("int")), ", ")).alias("__piece")
-    grouped = spelled.select("normalized_name", "__v", "__k", piece).groupBy("normalized_name").agg(
-        F.sum("__k").alias("occurrences"),
-        F.expr("listagg(__piece, ', ') WITHIN GROUP (ORDER BY __v)").alias("variants"))
+    piece = F.when(F.col("occurrences") > 1, F.concat("spelling", F.lit(" x"), F.col("occurrences").cast("string"))) \
+             .otherwise(F.col("spelling")).alias("__piece")
+    grouped = name_spellings(df, col).select("normalized_name", "spelling", "occurrences", piece) \
+        .groupBy("normalized_name").agg(
+            F.sum("occurrences").alias("occurrences"),
+            F.expr("listagg(__piece, ', ') WITHIN GROUP (ORDER BY spelling)").alias("variants"))
     return grouped.filter(F.col("occurrences") > 1)
 
 
+def name_spellings(df: DataFrame, col: str) -> DataFrame:
+    """V7 as rows: (normalized_name, spelling, occurrences), counted map-side first."""
+    return df.groupBy(F.lower(F.trim(F.col(col))).alias("normalized_name"), F.col(col).alias("spelling")) \
+             .agg(F.count(F.lit(1)).alias("occurrences"))
+
+
 def values_like(df: DataFrame, col: str, pattern: str) -> DataFrame:
     """V8: rows per value matching a case-insensitive LIKE pattern."""
     return df.filter(F.col(col).ilike(pattern)).groupBy(col).agg(F.count(F.lit(1)).alias("count"))

@@ -1,21 +1,15 @@
-"""Dimension joins: broadcast only behind a size check, skew-safe shuffle joins beyond it.
-
-Fact tables (pipeline, subscriptions) grow with the data; dimensions may or
-may not (7 products and 35 agents in the reference, but accounts grow with the
-customer base). So no dimension is broadcast on faith:
-
-* ``broadcast_if_small`` counts the dimension (a distributed count: one
-  partial count per task, no row leaves its task) and hints the broadcast only
-  when it holds at most ``n`` rows. Beyond that the join stays a shuffle join
-  and AQE may still switch it at runtime from measured sizes. (A
-  ``limit(n + 1).count()`` would funnel up to ``n`` rows per partition into a
-  single task before counting, so it is not used.)
-* In a shuffle join every null key hashes to the same reducer. Open deals
-  without an account are a third of the open pipeline, so ``join_dimension``
-  spreads null-key rows over all reducers with a second key column: rows with
-  a null key carry ``(true, <row id>)``, dimension rows ``(false, key)``, so a
-  null key still never matches and no reducer receives all of them. Hot
-  non-null keys are split by AQE's skew-join handling (enabled by the session).
+"""Dimension joins: one native-typed equi-join, null keys spread over the reducers.
+
+Fact tables grow with the data; dimensions may or may not. No dimension is
+broadcast on faith and none is counted while a plan is built: Catalyst and AQE
+broadcast a side by its size in bytes, otherwise the join shuffles, and AQE
+splits hot keys.
+
+In a shuffled left join every null key would hash to one reducer (open deals
+without an account are a third of the open pipeline). ``join_dimension``
+therefore joins on a second key as well: 0 for rows with a key, a hash of the
+row's id for rows without. A null key still never matches, since the first
+condition is never true for it.
 """
 
 from __future__ import annotations
@@ -23,60 +17,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension row here is a key and a few short columns (~100 bytes), so the
-# default keeps a broadcast in the tens of megabytes; raise it per session.
-DEFAULT_BROADCAST_ROWS = 250_000
-_CONF_KEY = "spark.ledgerline.broadcastMaxRows"
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get(_CONF_KEY, None)
-    return int(value) if value else DEFAULT_BROADCAST_ROWS
-
-
-def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counted, not estimated).
-
-    The answer is remembered per session for the same plan (``semanticHash``:
-    same tables and same operators), so a dimension used by many jobs is
-    counted once.
-    """
-    limit = broadcast_limit(df) if max_rows is None else max_rows
-    memo = df.sparkSession.__dict__.setdefault("_ledgerline_small", {})
-    key = (df.semanticHash(), limit)
-    if key not in memo:
-        memo[key] = df.count() <= limit
-    return memo[key]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when ``is_small``; otherwise ``df`` for a shuffle join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
 
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
-                   how: str = "left", spread_col: str | None = None,
-                   max_rows: int | None = None) -> DataFrame:
+                   how: str = "left", spread_col: str | None = None) -> DataFrame:
     """Equi-join ``fact.fact_key = dim.dim_key`` (inner or left), dimension key dropped.
 
-    Small dimension: broadcast hash join, the fact is not shuffled at all.
-    Large dimension: shuffle join; for a left join with ``spread_col`` given,
-    null fact keys are spread over reducers as described in the module doc.
+    Keys are compared in their own types. ``spread_col`` names a column of the
+    fact that differs between rows; it spreads null keys in a left join.
     """
-    dim_key = dim_key or fact_key
     if how not in ("left", "inner"):
         raise ValueError("join_dimension supports 'left' and 'inner'")
-    if is_small(dim, max_rows):
-        d = F.broadcast(dim.withColumnRenamed(dim_key, "__dk"))
-        joined = fact.join(d, fact[fact_key] == d["__dk"], how)
-        return joined.drop("__dk")
+    d = dim.withColumnRenamed(dim_key or fact_key, "__dk")
     if how == "inner" or spread_col is None:
         # Inner joins drop null keys before the shuffle (Catalyst adds IsNotNull).
-        d = dim.withColumnRenamed(dim_key, "__dk")
-        return fact.join(d, fact[fact_key] == d["__dk"], how).drop("__dk")
-    f = fact.withColumns({
-        "__nk": F.col(fact_key).isNull(),
-        "__jk": F.coalesce(F.col(fact_key).cast("string"), F.col(spread_col).cast("string")),
-    })
-    d = dim.withColumns({"__nk": F.lit(False), "__jk": F.col(dim_key).cast("string")}).drop(dim_key)
-    return f.join(d, ["__nk", "__jk"], "left").drop("__nk", "__jk")
+        return fact.join(d, F.col(fact_key) == F.col("__dk"), how).drop("__dk")
+    f = fact.withColumn("__nk", F.when(F.col(fact_key).isNull(), F.xxhash64(spread_col)).otherwise(F.lit(0)))
+    # depends on the key, so that Catalyst keeps it as a join key instead of folding a literal into the condition
+    d = d.withColumn("__dnk", F.when(F.col("__dk").isNull(), F.lit(1)).otherwise(F.lit(0)).cast("long"))
+    return f.join(d, (F.col(fact_key) == F.col("__dk")) & (F.col("__nk") == F.col("__dnk")), "left") \
+            .drop("__nk", "__dk", "__dnk")
