@@ -77,6 +77,8 @@ def cmd_derive(spark: SparkSession, a) -> None:
 
 
 def cmd_load(spark: SparkSession, a) -> None:
+    if a.database and not a.buckets:
+        raise SystemExit("--database needs --buckets")
     plan = (files.bucketed_plan(a.raw_dir, a.processed_dir, a.buckets) if a.database
             else files.default_plan(a.raw_dir, a.processed_dir))
     tables = files.load_raw(spark, plan, a.warehouse, database=a.database)
@@ -148,7 +150,7 @@ def parser() -> argparse.ArgumentParser:
     lo.add_argument("--processed-dir", required=True)
     lo.add_argument("--warehouse", required=True, help="folder of the table files")
     lo.add_argument("--database", help="also register catalog tables, account-keyed ones bucketed")
-    lo.add_argument("--buckets", type=int, default=64)
+    lo.add_argument("--buckets", type=int, help="buckets of the account-keyed tables; required with --database")
     lo.set_defaults(fn=cmd_load)
 
     r = sub.add_parser("run", help="run named jobs on the loaded tables")

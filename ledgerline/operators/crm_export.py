@@ -20,23 +20,20 @@ STAGE_MAP = {
 }
 PLACEHOLDER_DAYS = 90
 
-OPPORTUNITY_COLUMNS = ["Opportunity Name", "Account Name", "Amount", "Close Date", "Stage", "Product",
-                       "Sales Agent", "Opportunity_ID__c"]
-
 
 def crm_accounts(accounts: DataFrame, sector_fixes: Mapping[str, str],
                  country_fixes: Mapping[str, str]) -> DataFrame:
     """Account import rows; revenue from millions to units, a founding description."""
-    year = F.coalesce(F.col("year_established").cast("string"), F.lit("nan"))
-    suffix = F.when(F.col("subsidiary_of").isNotNull(),
-                    F.concat(F.lit("; subsidiary of "), F.col("subsidiary_of"))).otherwise(F.lit(""))
+    # parts that are not known are left out of the description
+    founded = F.concat(F.lit("Founded "), F.col("year_established").cast("string"))
+    parent = F.concat(F.lit("subsidiary of "), F.col("subsidiary_of"))
     return accounts.select(
         F.col("account").alias("Account Name"),
         mapped("sector", sector_fixes).alias("Industry"),
         (F.col("revenue").cast("decimal(38,2)") * F.lit(1_000_000)).cast("decimal(38,2)").alias("Annual Revenue"),
         F.col("employees").alias("NumberOfEmployees"),
         mapped("office_location", country_fixes).alias("BillingCountry"),
-        F.concat(F.lit("Founded "), year, suffix).alias("Description"),
+        F.concat_ws("; ", founded, parent).alias("Description"),
     )
 
 
@@ -109,7 +106,7 @@ def placeholder_counts(pipeline: DataFrame) -> DataFrame:
 
 
 def _with_match(opportunities: DataFrame, ids: DataFrame) -> DataFrame:
-    right = ids.select("Name", "Id").withColumn("__hit", F.lit(True))
+    right = ids.withColumn("__hit", F.lit(True))
     # Plain equality: a null name never matches. A data-frame merge would pair
     # null with null, but the export has no row without an account name.
     return join_dimension(opportunities, right, "Account Name", "Name", how="left",
@@ -117,10 +114,14 @@ def _with_match(opportunities: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def attach_external_ids(opportunities: DataFrame, ids: DataFrame) -> DataFrame:
-    """Matched rows only, the name replaced by ``AccountId`` in second place."""
+    """Matched rows only, the name replaced by ``AccountId`` in second place; other id columns at the end."""
     matched = _with_match(opportunities, ids).filter(F.col("__hit"))
     rest = [c for c in opportunities.columns if c not in ("Opportunity Name", "Account Name")]
-    return matched.select("Opportunity Name", F.col("Id").alias("AccountId"), *rest)
+    more = [c for c in ids.columns if c not in ("Name", "Id")]
+    clash = sorted(set(more) & set(opportunities.columns))
+    if clash:
+        raise ValueError(f"the id list has columns of the opportunities: {', '.join(clash)}")
+    return matched.select("Opportunity Name", F.col("Id").alias("AccountId"), *rest, *more)
 
 
 def id_match_audit(opportunities: DataFrame, ids: DataFrame) -> DataFrame:

@@ -41,18 +41,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when nothing is configured (a bare local test session) a
-    private folder is created, so ``DataFrame.checkpoint`` can run.
+    as is. Only when nothing is configured and the master is local (a bare test
+    session) a private folder is created, so ``DataFrame.checkpoint`` can run;
+    on a cluster a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # a Spark Connect session: the server's configuration applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    except Exception as exc:  # a Spark Connect session: only the configuration can be read
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share") from exc
+        return found
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` when the application ends (until then lazily built results may read it)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)

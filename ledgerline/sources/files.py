@@ -1,8 +1,10 @@
 """CSV sources and sinks of the raw and published layers.
 
-CSV is read with an explicit schema (never inferred) in FAILFAST mode, so a
-malformed value fails the load instead of silently becoming null; empty
-fields are nulls. Loaded tables are written as Parquet with overwrite (the
+CSV is read by header name with an explicit schema (never inferred): columns
+may stand in any order and others may stand between them, a missing column or
+a malformed value fails the load instead of silently becoming null, an integer
+may be written as ``1996.0``, and empty fields are nulls. Quoting is the usual
+one on both sides: quotes are doubled, quoted fields may hold line breaks. Loaded tables are written as Parquet with overwrite (the
 full-refresh load of the reference, per table). Marts are written as CSV
 directories of part files; ``single_file`` coalesces a small mart to one.
 """
@@ -14,7 +16,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
@@ -46,13 +49,15 @@ def default_plan(raw_dir: str, processed_dir: str) -> list[LoadStep]:
     ]
 
 
-def bucketed_plan(raw_dir: str, processed_dir: str, buckets: int = 64) -> list[LoadStep]:
+def bucketed_plan(raw_dir: str, processed_dir: str, buckets: int) -> list[LoadStep]:
     """``default_plan`` with the account-keyed tables bucketed by account.
 
     Pipeline, subscriptions and accounts hashed into the same buckets let the
     per-account aggregations (deal size and churn by sector) and their join to
     ``accounts`` run without a shuffle when ``accounts`` is too large to
-    broadcast. Needs a catalog (``load_raw(..., database=...)``).
+    broadcast. Needs a catalog (``load_raw(..., database=...)``). Choose
+    ``buckets`` so that a bucket's share of the pipeline fits a task (table
+    bytes / 128 MB is a start).
     """
     by_account = (buckets, ("account",))
     out = []
@@ -63,18 +68,53 @@ def bucketed_plan(raw_dir: str, processed_dir: str, buckets: int = 64) -> list[L
     return out
 
 
+# quotes are doubled inside quoted fields, as spreadsheet and data-frame tools write them
+QUOTING = {"quote": '"', "escape": '"'}
+
+
+def _typed(name: str, kind: T.DataType, date_format: str, table: str) -> Column:
+    """A text column in its declared type; a value that does not fit raises an error."""
+    raw = F.col(f"`{name}`")
+    if isinstance(kind, T.StringType):
+        return raw.alias(name)
+    if isinstance(kind, T.DateType):
+        value = F.try_to_timestamp(raw, F.lit(date_format)).cast("date")
+    elif isinstance(kind, (T.IntegerType, T.LongType)):
+        wide = raw.try_cast("decimal(38,10)")  # 1996 or 1996.0
+        value = F.when(wide == F.floor(wide), wide.try_cast(kind))
+    elif isinstance(kind, T.DecimalType):
+        wide = raw.try_cast("decimal(38,10)")
+        value = F.when(wide == F.round(wide, kind.scale), wide.try_cast(kind))
+    else:
+        value = raw.try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"Malformed {kind.simpleString()} in column {name} of {table}: "), raw))
+    return F.when(raw.isNotNull() & value.isNull(), bad.cast(kind)).otherwise(value).alias(name)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, table: str | None = None,
-             date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """Typed CSV scan with header; a missing input names its table."""
+             date_format: str = "yyyy-MM-dd", extra_columns: bool = False, multi_line: bool = True) -> DataFrame:
+    """Typed CSV scan by header name; a missing input or column names its table.
+
+    ``extra_columns`` keeps columns that the schema does not name, as text behind
+    the others. Quoted line breaks need a file to be read as a whole; for very
+    large files without any, ``multi_line=False`` lets Spark split them.
+    """
+    table = table or "table"
     try:
-        df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-                   .option("dateFormat", date_format).option("enforceSchema", False).csv(path))
-        df.schema  # resolve now so a missing path raises here
+        df = (spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST")
+                   .option("multiLine", multi_line).options(**QUOTING)
+                   .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise FileNotFoundError(f"Missing input file for {table or 'table'}: {path}") from exc
+            raise FileNotFoundError(f"Missing input file for {table}: {path}") from exc
+        if "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            raise ValueError(f"No header in the input of {table}: {path}") from exc
         raise
-    return df.select(*[f.name for f in schema.fields])
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"Missing columns in the input of {table}: {', '.join(missing)} ({path})")
+    rest = [F.col(f"`{c}`") for c in df.columns if extra_columns and c not in schema.fieldNames()]
+    return df.select(*[_typed(f.name, f.dataType, date_format, table) for f in schema.fields], *rest)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -109,6 +149,10 @@ def load_raw(spark: SparkSession, plan: Sequence[LoadStep], out_dir: str | None
         df = read_csv(spark, step.path, step.schema, step.table)
         if out_dir:
             target = f"{out_dir}/{step.table}"
+            if step.partition_by:
+                # one file per stage and about an advisory partition size, instead of one per task and stage;
+                # AQE splits the rebalanced partitions of a large stage
+                df = df.hint("rebalance", *step.partition_by)
             writer = df.write.mode("overwrite").partitionBy(*step.partition_by)
             if database:
                 name = f"`{database}`.`{step.table}`"
@@ -129,16 +173,23 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     Values are written as they are (Spark's writer would otherwise strip
     leading and trailing spaces)."""
     out = df.coalesce(1) if single_file else df
-    (out.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
+    (out.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").options(**QUOTING)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
+FACT_SIZED = frozenset({"vw_pipeline_summary"})
+
+
 def export_marts(marts: Mapping[str, DataFrame], out_dir: str, single_file: bool = False) -> dict[str, str]:
-    """One CSV directory per mart under ``out_dir``; returns mart -> path."""
+    """One CSV directory per mart under ``out_dir``; returns mart -> path.
+
+    ``single_file`` applies to the aggregated marts; the summary has a row per
+    deal and always stays a directory of part files.
+    """
     paths = {}
     for name, df in marts.items():
         path = os.path.join(out_dir, name)
-        write_csv(df, path, single_file)
+        write_csv(df, path, single_file and name not in FACT_SIZED)
         paths[name] = path
     return paths
 

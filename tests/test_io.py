@@ -77,8 +77,6 @@ def test_bucketed_tables_colocate_the_account_join(spark):
     loaded = files.load_raw(spark, files.bucketed_plan(f"{base}/raw", f"{base}/processed", buckets=8),
                             f"{base}/wh", database=db)
     expected = presale.deal_size_by_sector(t.pipeline, t.accounts).collect()
-    saved = spark.conf.get("spark.ledgerline.broadcastMaxRows", None)
-    spark.conf.set("spark.ledgerline.broadcastMaxRows", "0")
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
@@ -92,8 +90,4 @@ def test_bucketed_tables_colocate_the_account_join(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-        if saved is None:
-            spark.conf.unset("spark.ledgerline.broadcastMaxRows")
-        else:
-            spark.conf.set("spark.ledgerline.broadcastMaxRows", saved)
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")

@@ -53,5 +53,5 @@ def test_account_export_rows(spark):
     assert out["Beta Labs"]["BillingCountry"] == "Philippines"
     assert out["Bluth"]["BillingCountry"] == "Korea, Republic of"
     assert out["Bluth"]["Description"] == "Founded 2000; subsidiary of Acme Corporation"
-    assert out["Nulls"]["Description"] == "Founded nan" and out["Nulls"]["Annual Revenue"] is None
+    assert out["Nulls"]["Description"] == "" and out["Nulls"]["Annual Revenue"] is None
     assert crm_accounts(accounts, {}, {}).filter(F.col("Industry") == "technolgy").count() == 1
