@@ -20,16 +20,21 @@ def _col(c) -> Column:
 
 
 def _idiv(a: Column, b: Column) -> Column:
-    """Integral division (truncating); exact for DECIMAL(38,0) inputs."""
-    return F.call_function("div", a, b)
+    """Integral division of non-negative DECIMAL(38,0) values, as DECIMAL(38,0).
+
+    ``div`` would return a BIGINT and wrap beyond 2^63. The remainder is taken
+    off first, so the decimal division is exact (up to 10^32; beyond that ANSI
+    mode raises).
+    """
+    return ((a - a % b) / b).cast(_WIDE)
 
 
 def scaled_half_up(num, den, factor: int) -> Column:
-    """round_half_up(num * factor / den) as an integer (LONG); null if den = 0 or null."""
+    """round_half_up(num * factor / den) as an integer (DECIMAL(38,0)); null if den = 0 or null."""
     n = _col(num).cast(_WIDE)
     d = _col(den).cast(_WIDE)
     an, ad = F.abs(n), F.abs(d)
-    q = _idiv(an * F.lit(2 * factor) + ad, ad * F.lit(2))
+    q = _idiv((an * F.lit(2 * factor)).cast(_WIDE) + ad, F.when(ad != 0, (ad * F.lit(2)).cast(_WIDE)))
     negative = (n < 0) != (d < 0)
     signed = F.when(negative, -q).otherwise(q)
     return F.when(d != 0, signed)

@@ -120,8 +120,7 @@ JOBS: dict[str, Callable[[Tables], DataFrame]] = {
     # subscriptions
     "derive_subscriptions": lambda t: subscriptions.derive_subscriptions(t.pipeline),
     "sequential_subscription_ids": lambda t: subscriptions.number_subscriptions(
-        subscriptions.derive_subscriptions(t.pipeline)).select("subscription_id", "opportunity_id"),
-    "weighted_assignment": lambda t: subscriptions.assignment_table(t.pipeline),
+        subscriptions.derive_subscriptions(t.pipeline).select("opportunity_id")),
     "outcome_distribution": lambda t: subscriptions.outcome_distribution(t.subscriptions),
     "retention_sanity": lambda t: subscriptions.retention_sanity(t.subscriptions),
     "dropped_incomplete_won": lambda t: subscriptions.dropped_incomplete_won(t.pipeline),

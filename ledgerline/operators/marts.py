@@ -18,13 +18,6 @@ from ledgerline.plans.ranking import asc, desc, rank_within
 FORECAST_CATEGORY = {"Prospecting": "Pipeline", "Engaging": "Commit", "Won": "Closed", "Lost": "Omitted"}
 TOTAL_LABEL = "ALL PRODUCTS"
 
-SUMMARY_COLUMNS = [
-    "opportunity_id", "account", "product", "deal_stage", "forecast_category", "engage_date", "close_date",
-    "close_value", "estimated_value", "sales_cycle_days", "sales_agent", "manager", "regional_office",
-    "sector", "office_location", "account_revenue_millions", "account_employees",
-]
-
-
 def pipeline_summary(pipeline: DataFrame, products: DataFrame, teams: DataFrame, accounts: DataFrame,
                      product_fixes: Mapping[str, str], sector_fixes: Mapping[str, str],
                      location_fixes: Mapping[str, str]) -> DataFrame:
@@ -32,7 +25,7 @@ def pipeline_summary(pipeline: DataFrame, products: DataFrame, teams: DataFrame,
 
     Row count equals the pipeline's as long as the dimension keys are unique
     (check with ``duplicate_keys``). Null account / agent keys are spread over
-    reducers when a dimension is too large to broadcast (``join_dimension``).
+    the reducers of a shuffled join (``join_dimension``).
     """
     fact = canonicalize_values(pipeline, {"product": product_fixes})
     fact = join_dimension(fact, products.select("product", "sales_price"), "product",
@@ -69,7 +62,7 @@ def agent_scorecard(pipeline: DataFrame, teams: DataFrame) -> DataFrame:
         F.count_if(won).alias("_w"), F.count_if(F.col("deal_stage") == "Lost").alias("_l"),
         F.count_if(F.col("deal_stage").isin("Won", "Lost")).alias("_c"),
         F.sum(days).alias("_d"), F.count(days).alias("_nd"),
-        F.sum(F.when(won, cents("close_value"))).alias("_b"))
+        cents(F.sum(F.when(won, F.col("close_value")))).alias("_b"))
     joined = join_dimension(per_agent, teams.select("sales_agent", "manager", "regional_office"),
                             "sales_agent", how="left")
     grouped = joined.groupBy("sales_agent", "manager", "regional_office").agg(
@@ -89,11 +82,11 @@ def agent_scorecard(pipeline: DataFrame, teams: DataFrame) -> DataFrame:
 
 
 def _retention_partials(subs: DataFrame, product_fixes: Mapping[str, str]) -> DataFrame:
-    s, r = cents("starting_arr"), cents("renewal_arr")
+    s, r = F.col("starting_arr"), F.col("renewal_arr")
     out = F.col("renewal_outcome")
     return subs.groupBy(mapped("product", product_fixes).alias("product")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(s).alias("_s"), F.sum(r).alias("_r"),
-        F.sum(F.least(r, s)).alias("_cap"), F.count_if(out == "Churned").alias("_ch"),
+        F.count(F.lit(1)).alias("_n"), cents(F.sum(s)).alias("_s"), cents(F.sum(r)).alias("_r"),
+        cents(F.sum(F.least(r, s))).alias("_cap"), F.count_if(out == "Churned").alias("_ch"),
         F.count_if(out == "Expansion").alias("_ex"), F.count_if(out != "Churned").alias("_rn"))
 
 

@@ -33,8 +33,8 @@ def _renewed():
 
 def grr_nrr(subs: DataFrame) -> DataFrame:
     """Total starting and renewal ARR, GRR (each row capped at its start) and NRR."""
-    s, r = cents("starting_arr"), cents("renewal_arr")
-    a = subs.agg(F.sum(s).alias("_s"), F.sum(r).alias("_r"), F.sum(F.least(r, s)).alias("_cap"))
+    a = subs.agg(cents(F.sum("starting_arr")).alias("_s"), cents(F.sum("renewal_arr")).alias("_r"),
+                 cents(F.sum(F.least("renewal_arr", "starting_arr"))).alias("_cap"))
     return a.select(from_cents("_s").alias("total_starting_arr"), from_cents("_r").alias("total_renewal_arr"),
                     pct_half_up("_cap", "_s", 1).alias("grr_pct"), pct_half_up("_r", "_s", 1).alias("nrr_pct"))
 
@@ -57,7 +57,7 @@ def expansion_arr_by_product(subs: DataFrame) -> DataFrame:
     """Expanded subscriptions and the ARR added, per raw product."""
     a = subs.filter(_expanded()).groupBy("product").agg(
         F.count(F.lit(1)).alias("expanded_accounts"),
-        F.sum(cents("renewal_arr") - cents("starting_arr")).alias("_x"))
+        cents(F.sum(F.col("renewal_arr") - F.col("starting_arr"))).alias("_x"))
     return a.select("product", "expanded_accounts", from_cents("_x").alias("expansion_arr_generated")) \
             .orderBy(F.desc_nulls_first("expansion_arr_generated"), F.asc_nulls_last("product"))
 

@@ -91,11 +91,11 @@ def pipeline_velocity(pipeline: DataFrame) -> DataFrame:
     inputs: exact sums, then doubles in one fixed order, then half-up to cents.
     """
     days = F.when(_won(), day_diff("close_date", "engage_date"))
-    value = F.when(_won(), cents("close_value"))
+    value = F.when(_won(), F.col("close_value"))
     a = pipeline.agg(
         F.count_if(_stage().isin(*OPEN_STAGES)).alias("open_count"),
         F.count_if(_won()).alias("_won"), F.count_if(_closed()).alias("_closed"),
-        F.sum(value).alias("_vc"), F.count(value).alias("_nv"),
+        cents(F.sum(value)).alias("_vc"), F.count(value).alias("_nv"),
         F.sum(days).alias("_d"), F.count(days).alias("_nd"),
     )
     dbl = lambda c: F.col(c).cast("double")
@@ -145,17 +145,15 @@ def _deal_size_output(parts: DataFrame, by: str) -> DataFrame:
 
 def deal_size_by_product(pipeline: DataFrame) -> DataFrame:
     """Average Won deal value (2 dp) per raw product."""
-    v = cents("close_value")
     parts = pipeline.filter(_won()).groupBy("product").agg(
-        F.sum(v).alias("_vc"), F.count(v).alias("_nv"), F.count(F.lit(1)).alias("won_deals"))
+        cents(F.sum("close_value")).alias("_vc"), F.count("close_value").alias("_nv"), F.count(F.lit(1)).alias("won_deals"))
     return _deal_size_output(parts, "product")
 
 
 def deal_size_by_sector(pipeline: DataFrame, accounts: DataFrame) -> DataFrame:
     """Average Won deal value per raw sector (inner join: deals without account drop)."""
-    v = cents("close_value")
     per_account = pipeline.filter(_won() & F.col("account").isNotNull()).groupBy("account").agg(
-        F.sum(v).alias("_vc"), F.count(v).alias("_nv"), F.count(F.lit(1)).alias("_n"))
+        cents(F.sum("close_value")).alias("_vc"), F.count("close_value").alias("_nv"), F.count(F.lit(1)).alias("_n"))
     joined = join_dimension(per_account, accounts.select("account", "sector"), "account", how="inner")
     parts = joined.groupBy("sector").agg(F.sum("_vc").alias("_vc"), F.sum("_nv").alias("_nv"),
                                          F.sum("_n").alias("won_deals"))
@@ -192,7 +190,7 @@ def weighted_forecast(pipeline: DataFrame, products: DataFrame, product_fixes: M
     """
     open_deals = canonicalize_values(pipeline.filter(_stage().isin(*OPEN_STAGES)), {"product": product_fixes})
     per_product = open_deals.groupBy("deal_stage", "product").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(cents("close_value")).alias("_vc"),
+        F.count(F.lit(1)).alias("_n"), cents(F.sum("close_value")).alias("_vc"),
         F.count("close_value").alias("_nv"))
     joined = join_dimension(per_product, products.select("product", "sales_price"), "product", how="inner")
     # sum(coalesce(close_value, price)) = sum(close_value) + price x (rows without close_value)
@@ -202,13 +200,15 @@ def weighted_forecast(pipeline: DataFrame, products: DataFrame, product_fixes: M
     by_stage = joined.groupBy("deal_stage").agg(F.sum("_n").alias("open_deal_count"),
                                                 F.sum(est_cents).alias("_est"))
     category = mapped("deal_stage", {k: v[0] for k, v in forecast.items()}, keep_unmapped=False)
-    weight_bp = mapped("deal_stage", {k: int(v[1] * 100) for k, v in forecast.items()}, keep_unmapped=False)
-    weight = mapped("deal_stage", {k: v[1] for k, v in forecast.items()}, keep_unmapped=False)
+    # weights keep their own scale; the product is rounded once
+    digits = max([2, *(-Decimal(w).normalize().as_tuple().exponent for _, w in forecast.values())])
+    units = mapped("deal_stage", {k: int(Decimal(w) * 10 ** digits) for k, (_, w) in forecast.items()}, keep_unmapped=False)
+    weight = mapped("deal_stage", {k: Decimal(w) for k, (_, w) in forecast.items()}, keep_unmapped=False)
     return by_stage.select(
         "deal_stage",
         category.alias("forecast_category"),
-        weight.cast("decimal(38,2)").alias("category_weight"),
+        weight.cast(f"decimal(38,{digits})").alias("category_weight"),
         "open_deal_count",
         from_cents("_est").alias("estimated_value"),
-        from_cents(scaled_half_up(F.col("_est") * weight_bp, F.lit(100), 1)).alias("weighted_pipeline"),
+        from_cents(scaled_half_up(F.col("_est") * units, F.lit(10 ** digits), 1)).alias("weighted_pipeline"),
     ).orderBy(F.asc_nulls_last("deal_stage"))

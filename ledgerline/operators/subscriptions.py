@@ -116,7 +116,7 @@ def number_subscriptions(subs: DataFrame, order_by: Sequence[str] = ("opportunit
     keeps every digit past ``width``, where ``lpad`` would cut them."""
     seq = sequence(subs, [asc(c) for c in order_by], out="__seq")
     return seq.withColumn("subscription_id", F.format_string(f"{prefix}%0{width}d", F.col("__seq"))) \
-              .select(*subs.columns)
+              .select(*([] if "subscription_id" in subs.columns else ["subscription_id"]), *subs.columns)
 
 
 def assignment_table(pipeline: DataFrame, seed=SEED, outcomes: Sequence[Outcome] = OUTCOMES) -> DataFrame:
@@ -140,9 +140,9 @@ def outcome_distribution(subs: DataFrame) -> DataFrame:
 
 def retention_sanity(subs: DataFrame) -> DataFrame:
     """The generator's own check: totals, GRR, NRR and logo churn in one pass."""
-    s, r = cents("starting_arr"), cents("renewal_arr")
     agg = subs.agg(
-        F.sum(s).alias("_s"), F.sum(r).alias("_r"), F.sum(F.least(r, s)).alias("_cap"),
+        cents(F.sum("starting_arr")).alias("_s"), cents(F.sum("renewal_arr")).alias("_r"),
+        cents(F.sum(F.least("renewal_arr", "starting_arr"))).alias("_cap"),
         F.count_if(F.col("renewal_outcome") == "Churned").alias("_ch"), F.count(F.lit(1)).alias("_n"),
     )
     return agg.select(

@@ -12,12 +12,14 @@ Everything is lazy: Catalyst prunes what a job does not use.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.config import Cleaning
 from ledgerline.operators.subscriptions import derive_subscriptions
+from ledgerline.plans.joins import join_dimension
 
 # Fixed values of the binding (the planted misspellings and their fixes).
 PLANTED_PRODUCT = ("Brand#7", "Brand7")
@@ -155,6 +157,61 @@ def account_name_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.unionByName(variant)
 
 
+# Fixtures that plant what a check has to find (values only; every row stays).
+FINE_FORECAST = {"Prospecting": ("Pipeline", Decimal("0.125")), "Engaging": ("Commit", Decimal("0.605"))}
+PLANTED_YEAR = 1999  # accounts founded then stand for "some accounts"
+
+
+def orders_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per market segment over ``join_dimension`` with BIGINT = DECIMAL keys; a third of the keys is null."""
+    o = read(spark, sf_dir, "orders")
+    fact = o.select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("customer"))
+    dim = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("decimal(12,2)").alias("key"), "c_mktsegment")
+    met = join_dimension(fact, dim, "customer", "key", spread_col="o_orderkey")
+    return met.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("orders"))
+
+
+def renamed_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts of the planted year under another name, so their deals find no account (V3)."""
+    a = tables(spark, sf_dir).accounts
+    return a.withColumn("account", F.when(F.col("year_established") == PLANTED_YEAR, F.concat("account", F.lit(" Inc.")))
+                        .otherwise(F.col("account")))
+
+
+def repeated_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All accounts, and those of the planted year once more as they are and once re-cased (V7)."""
+    a = tables(spark, sf_dir).accounts.select("account", "year_established")
+    some = a.where(F.col("year_established") == PLANTED_YEAR)
+    return a.unionByName(some).unionByName(some.withColumn("account", F.upper(F.concat(F.lit(" "), F.lower("account")))))
+
+
+def repeated_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline with its Lost rows twice (V6)."""
+    p = tables(spark, sf_dir).pipeline
+    return p.unionByName(p.where(F.col("deal_stage") == "Lost"))
+
+
+def incomplete_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline without the value of deals closed on a 13th."""
+    p = tables(spark, sf_dir).pipeline
+    return p.withColumn("close_value", F.when(F.coalesce(F.dayofmonth("close_date") != 13, F.lit(True)), F.col("close_value")))
+
+
+def accounts_with_decoy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts with a location that matches the misspelt one only if its underscore is a wildcard."""
+    a = tables(spark, sf_dir).accounts
+    return a.withColumn("office_location", F.when(F.col("office_location") == "NATION_9", F.lit("NATONX7")).otherwise(F.col("office_location")))
+
+
+def tables_without_some_years(spark: SparkSession, sf_dir: str):
+    """The tables with the planted founding year unknown."""
+    from dataclasses import replace
+
+    t = tables(spark, sf_dir)
+    year = F.when(F.col("year_established") != PLANTED_YEAR, F.col("year_established")).alias("year_established")
+    return replace(t, accounts=t.accounts.select(*[year if c == "year_established" else F.col(c) for c in t.accounts.columns]))
+
+
 @dataclass
 class Roles:
     spark: SparkSession
