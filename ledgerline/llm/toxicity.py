@@ -6,7 +6,7 @@ documents and, at equal class sizes, with odds of at least 9 to 1 in toxic
 ones is evidence, and a token of a toxic document that carries evidence gets
 label 1; every other token gets label 0. The field has two states; a token's
 features are its word, its beginnings of 3 to 8 letters and its last 3
-letters, hashed into 2^18 weights, plus start and transition scores. It is
+letters, hashed into 2^20 weights, plus start and transition scores. It is
 trained by gradient steps on the exact log-likelihood (forward-backward).
 
 A document is scored with the forward-backward marginals of all its tokens:
@@ -17,7 +17,7 @@ least one half are the toxic spans, as character offsets of the text.
 Fitting uses a bounded sample: at most ``per_class`` labelled documents of
 each class, those with the smallest keyed hash of their id (copies and near
 copies in it count once). Only ids with crc32(id as text) mod 5 other than 0
-are ever used. The model is 2^18 + 10 numbers whatever the data. Scoring covers
+are ever used. The model is 2^20 + 10 numbers whatever the data. Scoring covers
 every document in full.
 
 Forward and backward recursions of a whole batch of documents run at once: a
@@ -37,7 +37,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -46,11 +45,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import fresh, id_remainder, pieces_of
+from ledgerline.llm.common import id_remainder, pieces_of
 
 TOKEN = re.compile(r"[^\W\d_]+")
-HASH_BITS, BEGINNINGS, SLOTS = 18, range(3, 9), 8
-PER_CLASS, ROUNDS, RATE, RIDGE = 3000, 40, 0.5, 1e-4
+HASH_BITS, BEGINNINGS, SLOTS = 20, range(3, 9), 8  # slots: word, ending, beginnings
+PER_CLASS, ROUNDS, RATE, RIDGE = 1200, 40, 0.5, 1e-4
 BLOCK = 128
 HELD_OUT_MOD = 5
 
@@ -75,11 +74,6 @@ def features(token: str) -> list[int]:
     return [1 + (h & mask) for h in out]  # slot 0 stays empty
 
 
-def evidence_keys(token: str) -> set[str]:
-    word = token.lower()
-    return {word, *(word[:k] + "*" for k in BEGINNINGS if k < len(word))}
-
-
 def _chain(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
     """x_t = (a x + b) / (c x + d) with x = x_{t-1}, for all t; the first map must be constant (a = c = 0)."""
     n = len(a)
@@ -121,10 +115,17 @@ def marginals(scores: np.ndarray, first: np.ndarray, model: Model) -> tuple[np.n
     return both / (1 + both), r, b
 
 
-def doc_features(p: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Per document (1, log(1 + sum), log density, offending tokens) from the marginals; ends: token counts added up."""
+def doc_features(p: np.ndarray, scores: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Per document (1, log(1 + sum), log density, offending tokens) from the marginals; ends: token counts added up.
+
+    A token with the score of the one before it (the same token, or one that says nothing) is not counted again.
+    """
     starts = np.concatenate(([0], ends[:-1]))
     n = ends - starts
+    if len(p):
+        again = np.concatenate(([False], scores[1:] == scores[:-1]))
+        again[starts[n > 0]] = False
+        p = np.where(again, 0.0, p)
     total = np.concatenate(([0.0], np.cumsum(p)))
     s = np.maximum(total[ends] - total[starts], 0)
     marked = np.concatenate(([0], np.cumsum(p >= 0.5)))
@@ -141,40 +142,42 @@ def _sketch(tokens: list[str]) -> tuple[int, int]:
 def train(rows: list[tuple[str, int]], share: float) -> Model:
     """Fit the field and the document function to (text, toxic) rows; ``share`` is the natural share of toxic."""
     empty = Model(np.zeros(1 + (1 << HASH_BITS)), np.zeros(1), np.zeros((2, 2)), np.zeros(4), share, usable=False)
-    docs, labels, seen = [], [], set()
+    vocabulary: dict[str, int] = {}
+    chains, labels, seen = [], [], set()
     for text, label in rows:
         tokens = TOKEN.findall(text)
-        marks = set(enumerate(_sketch(tokens))) if tokens else set()
-        if not marks or any((label, m) in seen for m in marks):
+        marks = {(label, *m) for m in enumerate(_sketch(tokens))} if tokens else set()
+        if not marks or not seen.isdisjoint(marks):
             continue
-        seen.update((label, m) for m in marks)
-        docs.append(tokens)
+        seen |= marks
+        chains.append(np.array([vocabulary.setdefault(t, len(vocabulary)) for t in tokens], np.int32))
         labels.append(int(label))
     y_doc = np.array(labels, int)
     n1, n0 = int(y_doc.sum()), int((1 - y_doc).sum())
     if not n1 or not n0:
         return empty
-    vocabulary: dict[str, int] = {}
-    ids = np.fromiter((vocabulary.setdefault(t, len(vocabulary)) for d in docs for t in d), np.int64)
-    ends = np.cumsum([len(d) for d in docs])
-    first = np.zeros(len(ids), bool)
-    first[np.concatenate(([0], ends[:-1]))] = True
-    keys = [evidence_keys(t) for t in vocabulary]
-    in_docs = (Counter(), Counter())
-    for d, label in zip(docs, labels):
-        in_docs[label].update(set().union(*(keys[vocabulary[t]] for t in set(d))))
-    least = max(min(5, n1), 0.003 * n1)
-    strong = {k for k, c in in_docs[1].items() if c >= least and c / n1 >= 9 * (in_docs[0][k] + 0.5) / (n0 + 1)}
-    carries = np.fromiter((not strong.isdisjoint(k) for k in keys), bool, len(keys))
-    y = (carries[ids] & np.repeat(y_doc, np.diff(np.concatenate(([0], ends)))).astype(bool)).astype(float)
-    table = np.zeros((len(vocabulary), SLOTS), np.int64)
+    table = np.zeros((len(vocabulary), SLOTS), np.int32)
     for i, t in enumerate(vocabulary):
         f = features(t)[:SLOTS]
         table[i, :len(f)] = f
+    # evidence: words and beginnings by the number of documents of either class that hold them
+    evidence, in_docs = np.delete(table, 1, axis=1), np.zeros((2, 1 + (1 << HASH_BITS)), np.int32)
+    for chain, label in zip(chains, labels):
+        in_docs[label, np.unique(evidence[np.unique(chain)])] += 1
+    strong = (in_docs[1] >= max(min(5, n1), 0.015 * n1)) & (in_docs[1] / n1 >= 9 * (in_docs[0] + 0.5) / (n0 + 1))
+    strong[0] = False
+    carries = strong[evidence].any(axis=1)
+    ends = np.cumsum([len(c) for c in chains])
+    ids = np.concatenate(chains)
+    first = np.zeros(len(ids), bool)
+    first[np.concatenate(([0], ends[:-1]))] = True
+    y = (carries[ids] & np.repeat(y_doc, np.diff(np.concatenate(([0], ends)))).astype(bool)).astype(float)
     model = Model(np.zeros(1 + (1 << HASH_BITS)), np.zeros(1), np.zeros((2, 2)), np.zeros(4), share)
     _climb(model, ids, first, y, table)
-    p, _, _ = marginals(model.weights[table].sum(axis=1)[ids] + model.fields["bias"], first, model)
-    model.doc = _logistic(doc_features(p, ends), y_doc, np.where(y_doc == 1, share / n1, (1 - share) / n0) * len(docs))
+    scores = model.weights[table].sum(axis=1)[ids] + model.fields["bias"]
+    p, _, _ = marginals(scores, first, model)
+    model.doc = _logistic(doc_features(p, scores, ends), y_doc, np.where(y_doc == 1, share / n1, (1 - share) / n0) * len(labels))
+    model.weights = model.weights.astype(np.float32)
     return model
 
 
@@ -240,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: in
     # bounded: at most 2 * per_class ids
     sample = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text")) \
         .join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    rows = sorted(tuple(r) for r in sample.collect())
+    rows = sorted(zip(*(sample.toArrow().column(c).to_pylist() for c in ("doc_id", "text", "toxic"))))
     return train([(text, label) for _, text, label in rows], share)
 
 
@@ -267,14 +270,14 @@ def score_texts(texts: list[str | None], model: Model, scores: _Scores) -> tuple
     n = int(ends[-1]) if len(ends) else 0
     if not model.usable:
         return np.full(len(texts), model.share), [[] for _ in texts]
-    p = np.zeros(0)
+    p = s = np.zeros(0)
     if n:
         s = np.array([scores[x] for t in tokens for x in t])
         first = np.zeros(n, bool)
         begins = np.concatenate(([0], ends[:-1]))
         first[begins[begins < n]] = True
         p, _, _ = marginals(s, first, model)
-    x = doc_features(p, ends)
+    x = doc_features(p, s, ends)
     score = 1 / (1 + np.exp(-np.clip(x @ model.doc, -30, 30)))
     spans: list[list[dict]] = [[] for _ in texts]
     hot = np.flatnonzero(p >= 0.5)
@@ -323,5 +326,5 @@ def tag(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text")
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` scored below one half, with their own columns."""
     model = fit(docs, labels, **options)
-    scanned, = fresh(docs, "scanned")
-    return tag(docs.withColumn(scanned, F.col("text")), model, docs.columns, scanned).where("score < 0.5").select(*docs.columns)
+    packed = docs.select("text", F.struct(*docs.columns).alias("row"))  # the caller's columns cannot clash with the scores
+    return tag(packed, model, ["row"]).where("score < 0.5").select("row.*")
