@@ -180,4 +180,4 @@ def read_back(formatted: DataFrame, keep: list[str]) -> DataFrame:
                                              [*keep, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
     fields = ", ".join(f"`{c}` {formatted.schema[c].dataType.simpleString()}" for c in keep)
-    return formatted.select("formatted", "mask", *keep).mapInArrow(run, f"{fields}, {DIGEST}")
+    return formatted.select(F.col("formatted").alias("__formatted"), F.col("mask").alias("__mask"), *keep).mapInArrow(run, f"{fields}, {DIGEST}")

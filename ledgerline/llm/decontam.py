@@ -143,7 +143,7 @@ def _scan_part(docs: DataFrame, pairs: list[tuple[str, bytes]], keep: list[str],
                     [*keep, "n_words", "hits", "spans", "items"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(F.col(text_col).cast("string"), *keep).mapInArrow(run, f"{fields}, {HIT_SCHEMA}")
+    return docs.select(F.col(text_col).cast("string").alias("__text"), *keep).mapInArrow(run, f"{fields}, {HIT_SCHEMA}")
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, keep: list[str] | None = None, text_col: str = "text",

@@ -467,4 +467,4 @@ def extract(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFr
                     [*keep, "title", "text", "n_lines"])
 
     fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
-    return pages.select(F.col(html_col).cast("string"), *keep).mapInArrow(run, f"{fields}, title string, text string, n_lines long")
+    return pages.select(F.col(html_col).cast("string").alias("__html"), *keep).mapInArrow(run, f"{fields}, title string, text string, n_lines long")

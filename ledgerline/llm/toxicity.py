@@ -320,7 +320,7 @@ def tag(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text")
                     [*whole.slice(a, b - a).columns[1:], pa.array(score, pa.float64()), pa.array(spans, _SPANS)], [*keep, "score", "spans"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(F.col(text_col).cast("string"), *keep).mapInArrow(run, f"{fields}, {SCHEMA}")
+    return docs.select(F.col(text_col).cast("string").alias("__text"), *keep).mapInArrow(run, f"{fields}, {SCHEMA}")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -68,7 +68,7 @@ def test_paths_of_random_trees_match_a_walk(spark):
             at = parent[t, at]
         want |= {(n, x, up) for up, x in enumerate(path)}
         key = (-sum(score[t, x] for x in path) / len(path), -len(path), n)
-        best[t] = min(best.get(t, (key, None)), (key, [f"t{x}" for x in reversed(path)]))
+        best[t] = min(best.get(t, (key, [])), (key, [f"t{x}" for x in reversed(path)]), key=lambda x: (x[0], -len(x[1])))
     assert {(r["leaf"], r["node"], r["up"]) for r in C.paths(nodes).collect()} == want
     got = {r["tree"]: [t for _, t in C.parse_turns(r["formatted"])] for r in C.format_paths(nodes).collect()}
     assert got == {t: p for t, (_, p) in best.items()}

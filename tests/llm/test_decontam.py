@@ -19,13 +19,16 @@ def brute(docs, items):
         w = words(t)
         if w and i is not None:
             windows += [(str(i), tuple(w[k:k + 10])) for k in range(max(1, len(w) - 9))]
+    sizes, owners = {len(win) for _, win in windows}, {}
+    for i, win in windows:
+        owners.setdefault(win, set()).add(i)
     for d, t in docs:
         w, hit, found = words(t), set(), set()
-        for i, win in windows:
-            for k in range(len(w) - len(win) + 1):
-                if w[k] == win[0] and tuple(w[k:k + len(win)]) == win:
-                    hit.update(range(k, k + len(win)))
-                    found.add(i)
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k:k + n]) in owners:
+                    hit.update(range(k, k + n))
+                    found |= owners[tuple(w[k:k + n])]
         yield d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
 
 
