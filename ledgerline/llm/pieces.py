@@ -17,7 +17,9 @@ written as byte pieces, so that it does not turn into a space.
 
 No vocabulary piece has a mark after another character (checked at loading),
 so merges never cross the beginning of a run of spaces and a text is encoded
-chunk by chunk; chunks are remembered per worker, up to a fixed number. With
+chunk by chunk. The new chunks of a batch of documents are merged together,
+one candidate of every chunk per round; chunks are remembered per worker, up
+to a fixed number. With
 ``dropout`` = 0 the pieces equal those of the sentencepiece library for texts
 without U+2581.
 
@@ -46,6 +48,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 DROPOUT, SEED, VARIANTS = 0.1, 2024, 4
 MAX_PIECES = 1_000_000  # the vocabulary is shared with every task, so its size is checked
+_SHORT, _NONE = 60, 1 << 30  # longest chunk that is merged with others (its places fit 6 bits); no candidate
 _REMEMBERED = 250_000  # chunks per variant and worker
 
 
@@ -85,11 +88,25 @@ def load_vocabulary(path: str = MODEL_PATH) -> Vocabulary:
     return Vocabulary(ids, {p: r for r, p in enumerate(order)}, tuple(byte_ids), tuple(raw), not any("\n" in p and len(p) > 1 for p in ids))
 
 
+def _skipped(key: int, rank: int, at: int, limit: int) -> bool:
+    """Whether the keyed hash of a candidate (its piece's rank and its first character's place) is below ``limit``."""
+    h = (key ^ (rank * 0x9E3779B1) ^ (at * 0x85EBCA77)) & 0xFFFFFFFF
+    h = ((h ^ (h >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
+    h = ((h ^ (h >> 12)) * 0x297A2D39) & 0xFFFFFFFF
+    return h ^ (h >> 15) < limit
+
+
+def _skipped_many(key: np.ndarray, rank: np.ndarray, at: np.ndarray, limit: int) -> np.ndarray:
+    low = np.uint64(0xFFFFFFFF)
+    h = key ^ ((rank.astype(np.uint64) * np.uint64(0x9E3779B1)) & low) ^ ((at.astype(np.uint64) * np.uint64(0x85EBCA77)) & low)
+    h = ((h ^ (h >> np.uint64(15))) * np.uint64(0x2C1B3C6D)) & low
+    h = ((h ^ (h >> np.uint64(12))) * np.uint64(0x297A2D39)) & low
+    return h ^ (h >> np.uint64(15)) < np.uint64(limit)
+
+
 def merge(chunk: str, rank: dict[str, int], limit: int, key: int) -> list[str]:
-    """Pieces of one chunk; a candidate is skipped when its 32-bit keyed hash is below ``limit``."""
+    """Pieces of one chunk by an agenda of any length; a candidate is skipped when its keyed hash is below ``limit``."""
     n = len(chunk)
-    if n == 1:
-        return [chunk]
     sym = list(chunk)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     agenda = []
@@ -103,12 +120,8 @@ def merge(chunk: str, rank: dict[str, int], limit: int, key: int) -> list[str]:
         a, b = sym[i], sym[j]
         if not a or not b or after[i] != j or len(a) + len(b) != size:
             continue  # an end of the pair has been merged since
-        if limit:
-            h = (key ^ (r * 0x9E3779B1) ^ (i * 0x85EBCA77)) & 0xFFFFFFFF
-            h = ((h ^ (h >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
-            h = ((h ^ (h >> 12)) * 0x297A2D39) & 0xFFFFFFFF
-            if h ^ (h >> 15) < limit:
-                continue
+        if limit and _skipped(key, r, i, limit):
+            continue
         a += b
         sym[i], sym[j] = a, ""
         k = after[i] = after[j]
@@ -125,34 +138,126 @@ def merge(chunk: str, rank: dict[str, int], limit: int, key: int) -> list[str]:
     return [s for s in sym if s]
 
 
+class _Pairs:
+    """Sorted table of the symbol pairs that make a piece, for merging many chunks at once."""
+
+    def __init__(self, v: Vocabulary):
+        names = dict(v.ids)
+        for p in v.rank:
+            for c in p:
+                names.setdefault(c, len(v.raw) + len(names))  # characters that occur inside pieces only
+        self.width = max(names.values()) + 2
+        found = {names[p[:k]] * self.width + names[p[k:]]: r for p, r in v.rank.items()
+                 for k in range(1, len(p)) if p[:k] in names and p[k:] in names}
+        self.keys = np.array(sorted(found), np.int64)
+        self.ranks = np.array([found[k] for k in self.keys.tolist()], np.int64)
+        self.made = np.array([v.ids[p] for p in v.rank], np.int64)  # by rank
+        self.known = len(v.raw)
+        self.symbol = np.full(0x110000, self.width - 1, np.int32)  # by code point; the last one is no symbol
+        for c, i in names.items():
+            if len(c) == 1:
+                self.symbol[ord(c)] = i
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left * self.width + right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.ranks[at], _NONE)
+
+
+def merge_many(chunks: list[str], keys: list[int], pairs: _Pairs, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, ends) of many short chunks: each round takes the best candidate of every chunk from its agenda.
+
+    The same pieces as ``merge`` gives chunk by chunk. Symbols that are not vocabulary ids stand for unknown characters.
+    """
+    lengths = np.array([len(c) for c in chunks], np.int64)
+    sym = pairs.symbol[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
+    own = np.repeat(np.arange(len(chunks)), lengths)
+    place = np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    key = np.array(keys, np.uint64)
+    agenda = np.full(len(sym), _NONE, np.int64)  # of the pair that begins at a symbol
+    agenda[:-1] = np.where(own[1:] == own[:-1], pairs.rank(sym[:-1], sym[1:]), _NONE)
+    done_sym, done_own = [], []
+    while len(sym):
+        start = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        size = np.diff(np.append(start, len(own)))
+        order = agenda * 64 + place  # leftmost on ties
+        best = np.minimum.reduceat(order, start)
+        over = best >= _NONE * 64
+        if over.any():  # no candidate is left
+            rest = np.repeat(over, size)
+            done_sym.append(sym[rest])
+            done_own.append(own[rest])
+            live = ~rest
+            sym, own, place, agenda, order = sym[live], own[live], place[live], agenda[live], order[live]
+            best, size = best[~over], size[~over]
+            if not len(sym):
+                break
+        at = np.flatnonzero(order == np.repeat(best, size))
+        if limit:
+            skip = _skipped_many(key[own[at]], agenda[at], place[at], limit)
+            agenda[at[skip]] = _NONE
+            at = at[~skip]
+        if not len(at):
+            continue
+        sym[at] = pairs.made[agenda[at]]
+        stay = np.ones(len(sym), bool)
+        stay[at + 1] = False
+        at = at - np.arange(len(at))  # one symbol fewer for every merge before
+        sym, own, place, agenda = sym[stay], own[stay], place[stay], agenda[stay]
+        for i in (at, at[at > 0] - 1):
+            whole = i + 1 < len(sym)
+            j = i[whole]
+            agenda[i] = _NONE
+            inside = own[j] == own[j + 1]
+            agenda[j[inside]] = pairs.rank(sym[j[inside]], sym[j[inside] + 1])
+    if not done_sym:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sym, own = np.concatenate(done_sym), np.concatenate(done_own)
+    return sym[np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=len(chunks)))
+
+
 class _Chunks(dict):
-    """Ids (as int32 bytes) by chunk for one variant, computed on first use."""
+    """Ids (as int32 bytes) by chunk for one variant."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int):
+    def __init__(self, vocabulary: Vocabulary, pairs: _Pairs, dropout: float, seed: int):
         super().__init__()
-        self.v, self.seed = vocabulary, seed
+        self.v, self.pairs, self.seed = vocabulary, pairs, seed
         self.limit = min(int(dropout * 2 ** 32), 2 ** 32)
 
-    def __missing__(self, chunk: str) -> bytes:
+    def key(self, chunk: str) -> int:
+        return xxhash.xxh32_intdigest(chunk.encode("utf-8", "surrogatepass"), self.seed) if self.limit else 0
+
+    def learn(self, chunks: list[str]) -> None:
+        """Add chunks: short ones of known characters all at once, the others one by one."""
+        short = []
+        for c in chunks:
+            if len(c) <= _SHORT and c != MARK:
+                short.append(c)
+            else:
+                self[c] = self.alone(c)
+        if not short:
+            return
+        sym, ends = merge_many([c.replace(" ", MARK) for c in short], [self.key(c) for c in short], self.pairs, self.limit)
+        unknown = np.concatenate(([0], np.cumsum(sym >= self.pairs.known)))
+        raw, begin = sym.astype(np.int32).tobytes(), 0
+        for c, end, odd in zip(short, ends.tolist(), (unknown[ends] - unknown[np.concatenate(([0], ends[:-1]))]).tolist()):
+            self[c] = self.alone(c) if odd else raw[4 * begin:4 * end]
+            begin = end
+
+    def alone(self, chunk: str) -> bytes:
         v, ids = self.v, []
         if chunk == MARK:
             parts = []
             ids = [v.byte_ids[b] for b in MARK.encode()]
         else:
-            key = xxhash.xxh32_intdigest(chunk.encode("utf-8", "surrogatepass"), self.seed) if self.limit else 0
-            parts = merge(chunk.replace(" ", MARK), v.rank, self.limit, key)
+            parts = merge(chunk.replace(" ", MARK), v.rank, self.limit, self.key(chunk))
         for p in parts:
             known = v.ids.get(p)
             if known is None:
                 ids += [v.byte_ids[b] for b in p.encode("utf-8", "surrogatepass")]
             else:
                 ids.append(known)
-        out = array("i", ids).tobytes()
-        if len(chunk) <= 64:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[chunk] = out
-        return out
+        return array("i", ids).tobytes()
 
 
 class Encoder:
@@ -161,17 +266,29 @@ class Encoder:
             raise ValueError("dropout must be in [0, 1] and variants at least 1")
         self.vocabulary, self.seed = vocabulary, seed
         self.variants = variants if dropout else 1
-        self.chunks = [_Chunks(vocabulary, dropout, xxhash.xxh32_intdigest(b"%d:%d" % (seed, k))) for k in range(self.variants)]
+        pairs = _Pairs(vocabulary)
+        self.chunks = [_Chunks(vocabulary, pairs, dropout, xxhash.xxh32_intdigest(b"%d:%d" % (seed, k))) for k in range(self.variants)]
         self.cut = re.compile(f" *[^ {MARK}\n]+|{MARK}|\n| +" if vocabulary.cut_lines else f" *[^ {MARK}]+|{MARK}| +").findall
 
     def variant(self, key: str) -> int:
         return xxhash.xxh32_intdigest(key.encode("utf-8", "surrogatepass"), self.seed & 0xFFFFFFFF) % self.variants
 
+    def encode_many(self, texts: list[str], variants: list[int]) -> list[np.ndarray]:
+        cuts = [self.cut(" " + t) if t else [] for t in texts]
+        for k, known in enumerate(self.chunks):
+            new = {c for cut, v in zip(cuts, variants) if v == k for c in cut if c not in known}
+            if len(new) + len(known) > _REMEMBERED:  # make room first, then learn all that the batch needs
+                known.clear()
+                new = {c for cut, v in zip(cuts, variants) if v == k for c in cut}
+            known.learn(list(new))
+        out = []
+        for cut, v in zip(cuts, variants):
+            known = self.chunks[v]
+            out.append(np.frombuffer(b"".join([known[c] for c in cut]), np.int32))
+        return out
+
     def encode(self, text: str, variant: int = 0) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        known = self.chunks[variant]
-        return np.frombuffer(b"".join([known[c] for c in self.cut(" " + text)]), np.int32)
+        return self.encode_many([text], [variant])[0]
 
 
 def decode(ids, vocabulary: Vocabulary) -> str:
@@ -192,14 +309,11 @@ def encode_texts(docs: DataFrame, keep: list[str], path: str = MODEL_PATH, dropo
         encoder = Encoder(vocabulary, dropout, seed, variants)
         for whole in batches:
             texts, keys = whole.column(0).to_pylist(), whole.column(1).to_pylist()
-            for a, b in pieces_of([len(t or "") for t in texts], 4_000_000):
-                kinds, ids, same = [], [], []
-                for t, k in zip(texts[a:b], keys[a:b]):
-                    v = encoder.variant(k if k is not None else t or "")
-                    one = encoder.encode(t or "", v)
-                    kinds.append(v)
-                    ids.append(one)
-                    same.append(t is None or decode(one.tolist(), vocabulary) == t)
+            for a, b in pieces_of([len(t or "") for t in texts], 2_000_000):
+                part = texts[a:b]
+                kinds = [encoder.variant(k if k is not None else t or "") for t, k in zip(part, keys[a:b])]
+                ids = encoder.encode_many([t or "" for t in part], kinds)
+                same = [t is None or decode(x.tolist(), vocabulary) == t for t, x in zip(part, ids)]
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()),
                                                  mask=pa.array([t is None for t in texts[a:b]], pa.bool_()))
@@ -208,7 +322,7 @@ def encode_texts(docs: DataFrame, keep: list[str], path: str = MODEL_PATH, dropo
                     [*keep, "variant", "ids", "lossless"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    rows = docs.select(F.col(text_col).cast("string").alias("t_"), F.col(id_col).cast("string").alias("k_"), *keep)
+    rows = docs.select(F.col(text_col).cast("string").alias("__text"), F.col(id_col).cast("string").alias("__key"), *keep)
     return rows.mapInArrow(run, f"{fields}, {SCHEMA}")
 
 
@@ -223,4 +337,4 @@ def decode_ids(rows: DataFrame, keep: list[str], path: str = MODEL_PATH, ids_col
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], [*keep, "text"])
 
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.select(F.col(ids_col), *keep).mapInArrow(run, f"{fields}, text string")
+    return rows.select(F.col(ids_col).alias("__ids"), *keep).mapInArrow(run, f"{fields}, text string")
