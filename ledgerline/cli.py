@@ -100,7 +100,7 @@ def cmd_run(spark: SparkSession, a) -> None:
 
 
 def cmd_sql(spark: SparkSession, a) -> None:
-    views.register_layers(_warehouse_tables(spark, a.warehouse, None, a.as_of, a.database))
+    views.register_layers(_warehouse_tables(spark, a.warehouse, None, a.as_of, a.database), a.statement)
     spark.sql(a.statement).show(a.show, truncate=False)
 
 

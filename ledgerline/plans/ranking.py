@@ -16,11 +16,10 @@ distributed steps only:
 3. Rows per range partition (one row per partition, so bounded by the
    partition count) -> running offsets -> broadcast -> global row number.
 
-``rank`` is then the row number of the first peer (equal partition and order
-keys): a window over (range partition, peer key) finds it inside each range
-partition, and a one-row-per-partition summary carries it across partition
-boundaries (see ``_first_of_group``); no join on the peer key, so a hot peer
-group stays split. ``ntile`` is a closed formula of the row number and the
+``rank`` is the place of the first peer (equal partition and order keys): one
+window per range partition finds it inside the partition, and a
+one-row-per-partition summary carries it across partition boundaries (see
+``rank_within``); no join on the peer key, so a hot peer group stays split. ``ntile`` is a closed formula of the row number and the
 total.
 """
 
@@ -60,74 +59,46 @@ def desc(name: str, nulls_first: bool = False) -> Key:
     return Key(name, False, nulls_first)
 
 
-def sequence(df: DataFrame, keys: Sequence[Key], out: str = "_rn",
-             total: str | None = None, keep_position: bool = False) -> DataFrame:
-    """Add ``out``: 1-based global row number in the order ``keys`` (make it total
-    with a unique tiebreak key). Optionally ``total``: the number of rows;
-    ``keep_position`` keeps ``__pid`` / ``__pos`` (range partition, position in it)."""
+def _positions(df: DataFrame, keys: Sequence[Key]) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``keys``, with ``__pid`` / ``__pos``: partition and place in it (from 0)."""
     ensure_checkpoint_dir(df.sparkSession)
     orders = [k.order() for k in keys]
     ranged = (df.repartitionByRange(*orders)
                 .sortWithinPartitions(*orders)
                 .withColumn("__mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
-    pid = F.shiftright(F.col("__mid"), _POS_BITS)
-    pos = F.col("__mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    ranged = ranged.withColumns({"__pid": pid, "__pos": pos})
-    per_part = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per range partition: the window and the broadcast are bounded by
-    # the partition count, not by the data.
-    running = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
+    return ranged.withColumns({"__pid": F.shiftright(F.col("__mid"), _POS_BITS),
+                               "__pos": F.col("__mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))}).drop("__mid")
+
+
+def _parts():
+    """Windows over one row per range partition (bounded by the partition count): in order, and all before a row."""
+    order = Window.orderBy("__pid")
+    return order, order.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def sequence(df: DataFrame, keys: Sequence[Key], out: str = "_rn", total: str | None = None) -> DataFrame:
+    """Add ``out``: 1-based global row number in the order ``keys`` (make it total
+    with a unique tiebreak key). Optionally ``total``: the number of rows."""
+    placed = _positions(df, keys)
+    _, before = _parts()
+    offsets = placed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).select(
         "__pid",
-        F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__off"),
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
         F.sum("__n").over(Window.partitionBy()).alias("__total"),
     )
-    numbered = ranged.join(F.broadcast(offsets), "__pid")
-    numbered = numbered.withColumn(out, F.col("__off") + F.col("__pos") + 1)
+    numbered = placed.join(F.broadcast(offsets), "__pid").withColumn(out, F.col("__off") + F.col("__pos") + 1)
     if total:
         numbered = numbered.withColumn(total, F.col("__total"))
-    dropped = ["__mid", "__off", "__total"] + ([] if keep_position else ["__pid", "__pos"])
-    return numbered.drop(*dropped)
-
-
-def _first_of_group(seq: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """``out``: the global row number of the first row whose ``keys`` equal this row's.
-
-    Rows with equal keys are contiguous in row-number order, so the first row
-    of a group is either in the row's own range partition (``local``: a window
-    over (partition, keys), whose groups are bounded by the partition size) or
-    the group started in an earlier partition. The latter is resolved on a
-    summary with one row per range partition (first key, last key, start of
-    its last group): a partition whose first key equals the previous
-    partition's last key continues that group, and the group's start is the
-    last-group start of the nearest earlier partition that is not itself a
-    pure continuation. Nulls compare equal, as peers do in RANK.
-    """
-    local = seq.withColumn("__ls", F.min("__rn").over(Window.partitionBy("__pid", *keys)))
-    first = [F.min_by(F.col(k), F.col("__pos")).alias(f"__f{i}") for i, k in enumerate(keys)]
-    last = [F.max_by(F.col(k), F.col("__pos")).alias(f"__l{i}") for i, k in enumerate(keys)]
-    summary = local.groupBy("__pid").agg(*first, *last, F.max_by("__ls", "__pos").alias("__last_start"))
-    # Windows over the summary run on one row per range partition (bounded).
-    order = Window.orderBy("__pid")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    connected = F.lag("__pid").over(order).isNotNull()
-    for i in range(len(keys)):
-        connected = connected & F.col(f"__f{i}").eqNullSafe(F.lag(f"__l{i}").over(order))
-    whole = F.lit(True)
-    for i in range(len(keys)):
-        whole = whole & F.col(f"__f{i}").eqNullSafe(F.col(f"__l{i}"))
-    summary = summary.withColumns({"__conn": connected, "__pass": connected & whole})
-    carry = summary.select(
-        "__pid", *[f"__f{i}" for i in range(len(keys))],
-        F.when(F.col("__conn"), F.last(F.when(~F.col("__pass"), F.col("__last_start")), ignorenulls=True)
-               .over(before)).alias("__carry"))
-    joined = local.join(F.broadcast(carry), "__pid")
-    same_as_first = F.lit(True)
-    for i, k in enumerate(keys):
-        same_as_first = same_as_first & F.col(k).eqNullSafe(F.col(f"__f{i}"))
-    start = F.when(F.col("__carry").isNotNull() & same_as_first, F.col("__carry")).otherwise(F.col("__ls"))
-    return joined.withColumn(out, start).drop("__ls", "__carry", *[f"__f{i}" for i in range(len(keys))])
+    return numbered.drop("__off", "__total", "__pid", "__pos")
+
+
+def _changed(names: Sequence[str], order: Window) -> Column:
+    """Whether a row's values differ from those of the row before it (nulls are equal, as peers are in RANK)."""
+    out = F.col("__pos") == 0
+    for n in names:
+        out = out | ~F.col(n).eqNullSafe(F.lag(n).over(order))
+    return out
 
 
 def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Key],
@@ -135,25 +106,45 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[K
     """``RANK() OVER (PARTITION BY partition_by ORDER BY order_by)`` as INT.
 
     ``tiebreak`` (unique together with the other keys) only spreads peers over
-    range partitions; it does not change any rank. The rank is the row number
-    of the first peer minus that of the first row of the partition group, both
-    found without a join on the peer key (a hot peer group never meets in
-    one task).
+    range partitions; it does not change any rank. The rank is the place of
+    the first peer minus that of the first row of the partition group.
+
+    One exchange by range partition serves everything: inside a partition a
+    window in sorted order marks where the group and the peers change and
+    carries the marks forward; a summary with one row per range partition
+    (rows, first and last keys, last marks) tells whether a partition's first
+    run continues the one before it, and where that run began. No join on the
+    peer key, so a hot peer group never meets in one task.
     """
-    part_keys = [Key(p, True, True) for p in partition_by]
-    seq = sequence(df, [*part_keys, *order_by, *tiebreak], out="__rn", keep_position=True)
-    peers = [*partition_by, *[k.name for k in order_by]]
-    if partition_by:
-        # group pass first: its exchange on (range partition, group) also
-        # serves the peer window, whose keys extend the group's
-        ranked = _first_of_group(seq, list(partition_by), "__grp_start")
-        ranked = _first_of_group(ranked, peers, "__peer_start")
-        rank = F.col("__peer_start") - F.col("__grp_start") + 1
-    else:
-        ranked = _first_of_group(seq, peers, "__peer_start")
-        rank = F.col("__peer_start")
-    return ranked.withColumn(out, rank.cast("int")) \
-                 .drop("__rn", "__pid", "__pos", "__peer_start", "__grp_start")
+    placed = _positions(df, [*(Key(p, True, True) for p in partition_by), *order_by, *tiebreak])
+    order, before = _parts()
+    runs = {"g": list(partition_by), "p": [*partition_by, *[k.name for k in order_by]]}
+    inside = Window.partitionBy("__pid").orderBy("__pos")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = placed.withColumns({f"__new_{r}": _changed(names, inside) for r, names in runs.items()})
+    local = marked.withColumns({
+        f"__at_{r}": F.last(F.when(F.col(f"__new_{r}"), F.col("__pos")), ignorenulls=True).over(upto) for r in runs})
+    keys = runs["p"]
+    summary = local.groupBy("__pid").agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.min_by(F.col(k), F.col("__pos")).alias(f"__f{i}") for i, k in enumerate(keys)],
+        *[F.max_by(F.col(k), F.col("__pos")).alias(f"__l{i}") for i, k in enumerate(keys)],
+        *[F.max(f"__at_{r}").alias(f"__last_{r}") for r in runs])
+    summary = summary.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    for r, names in runs.items():
+        goes_on = F.lag("__pid").over(order).isNotNull()
+        for i in range(len(names)):
+            goes_on = goes_on & F.col(f"__f{i}").eqNullSafe(F.lag(f"__l{i}").over(order))
+        summary = summary.withColumn(f"__on_{r}", goes_on)
+    carry = summary.select("__pid", "__off", *[
+        # the run before began in the nearest earlier partition that is not one run from end to end
+        F.when(F.col(f"__on_{r}"), F.last(F.when(~(F.col(f"__on_{r}") & (F.col(f"__last_{r}") == 0)), F.col("__off") + F.col(f"__last_{r}")),
+                                          ignorenulls=True).over(before)).alias(f"__from_{r}") for r in runs])
+    joined = local.join(F.broadcast(carry), "__pid")
+    start = {r: F.when((F.col(f"__at_{r}") == 0) & F.col(f"__from_{r}").isNotNull(), F.col(f"__from_{r}"))
+             .otherwise(F.col("__off") + F.col(f"__at_{r}")) for r in runs}
+    return joined.withColumn(out, (start["p"] - start["g"] + 1).cast("int")) \
+                 .drop("__pid", "__pos", "__off", *[f"__{x}_{r}" for r in runs for x in ("new", "at", "from")])
 
 
 def ntile(df: DataFrame, k: int, order_by: Sequence[Key], out: str = "ntile") -> DataFrame:

@@ -2,7 +2,9 @@
 
 Spark temp-view names cannot contain a dot, so the reference's ``raw.<table>``
 and ``analytics.<view>`` become ``raw_<table>`` and ``analytics_<view>``.
-Views are plans, not copies: querying one runs the job.
+Views are plans, not copies: querying one runs the job. The scorecard's plan
+contains a ranking that numbers its rows when the plan is built, so
+``register_layers`` builds only the views that a statement names.
 """
 
 from __future__ import annotations
@@ -21,10 +23,15 @@ def register(frames: Mapping[str, DataFrame], prefix: str) -> list[str]:
     return names
 
 
-def register_layers(tables) -> list[str]:
-    """``raw_*`` views of a ``jobs.Tables`` and ``analytics_vw_*`` views of its marts."""
+def register_layers(tables, statement: str | None = None) -> list[str]:
+    """``raw_*`` views of a ``jobs.Tables`` and ``analytics_vw_*`` views of its marts.
+
+    With ``statement``, only the views whose names occur in it.
+    """
     from ledgerline.jobs import MARTS
 
-    names = register(tables.raw(), "raw_")
-    names += register({name: fn(tables) for name, fn in MARTS.items()}, "analytics_")
-    return names
+    def named(view: str) -> bool:
+        return statement is None or view.lower() in statement.lower()
+
+    names = register({n: df for n, df in tables.raw().items() if named(f"raw_{n}")}, "raw_")
+    return names + register({n: fn(tables) for n, fn in MARTS.items() if named(f"analytics_{n}")}, "analytics_")
