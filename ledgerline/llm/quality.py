@@ -123,7 +123,10 @@ def bucket(value: Column) -> Column:
 
 
 def sketches(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(lang, source, rule, value, n): the bucket counts per language and source, over rows that pass the base rules."""
+    """(lang, source, rule, value, n): the bucket counts per language and source, over rows that pass the base rules.
+
+    ``measured`` should be a stored table: the measures would otherwise be computed once per use.
+    """
     each = F.inline(F.array(*[F.struct(F.lit(r.name).alias("rule"), ratio(r).alias("v")) for r in rules]))
     rows = measured.where(~base_failed()).select("lang", "source", each).where("v is not null")
     return rows.groupBy("lang", "source", "rule", bucket(F.col("v")).alias("value")).agg(F.count(F.lit(1)).alias("n"))

@@ -5,6 +5,7 @@ import pytest
 from conftest import SMALL
 
 from ledgerline.llm import quality as Q
+from ledgerline.llm.common import stored
 
 
 def brute(text):
@@ -45,7 +46,7 @@ def test_bucket_keeps_six_digits(spark):
 
 def test_sketches_merge(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    m = Q.measures(docs)
+    m = stored(Q.measures(docs), "measured")
     whole = {tuple(r) for r in Q.sketches(m).collect()}
     a, b = Q.sketches(m.where("doc_id % 2 = 0")), Q.sketches(m.where("doc_id % 2 = 1"))
     assert {tuple(r) for r in Q.merged(a.unionByName(b), "lang", "source").select("lang", "source", "rule", "value", "n").collect()} == whole
