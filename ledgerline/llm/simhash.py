@@ -312,4 +312,5 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 3, block_rows:
     of_print = print_roots(distinct, max_bits, block_rows)
     per_print = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "uid")).alias("best"))
     best = stored(per_print.join(of_print, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.uid"), "chosen")
-    return rows.join(best, "uid", "left_semi").select("row.*")
+    # one plan at every size: the chosen numbers are up to all rows, so the join is never a broadcast
+    return rows.join(best.hint("merge"), "uid", "left_semi").select("row.*")
