@@ -2,7 +2,8 @@
 
 A tolerant tree builder (implied end tags of p, li, dt, dd, tr, td, th,
 option and table sections; implied tr; void and raw-text elements; text that
-stands directly in a table moves before it; nesting beyond 512 levels is
+stands directly in a table moves before it; tags of rows, cells, sections and
+captions outside any table are ignored and their content stays; nesting beyond 512 levels is
 flattened, as browsers do) is followed by a renderer that emits all visible
 text: paragraphs, headings and similar blocks are set apart by an empty line,
 other blocks begin a new line, ``br`` breaks one; list items carry a bullet or
@@ -47,6 +48,7 @@ BLOCKS = SPACED | frozenset("html body div section article aside header footer n
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
                      "h6 header hgroup hr main menu nav ol p pre section search summary table ul li dt dd listing".split())
 SECTIONS = frozenset(("thead", "tbody", "tfoot"))
+TABLE_PARTS = SECTIONS | frozenset("tr td th caption colgroup col".split())
 MAX_DEPTH = 512
 WIDE = 120  # longer lines of a cell stick out of their column instead of widening it for every row
 
@@ -103,6 +105,8 @@ class _Builder:
     def open(self, tag: str, attrs: dict) -> None:
         if tag in ("html", "body") and self.inside((tag,)):
             return
+        if tag in TABLE_PARTS and self.inside(("table",)) is None:
+            return
         if tag in CLOSES_P:
             self.close(self.inside(("p",), ("td", "th", "table", "caption", "button", "object")))
         if self.at.tag == "head" and tag not in ("title", "meta", "link", "base", "script", "style", "template", "noscript"):

@@ -65,3 +65,11 @@ def test_edge_rows(spark):
     out = [(r["page_id"], r["text"] if r["text"] is None else len(r["text"]), r["n_lines"]) for r in H.extract(rows, ["page_id"]).collect()]
     assert out == [(1, None, None), (None, 0, 0), (2, 1, 1), (2, 1, 1), (3, 300_000, 1)]
     assert H.extract(rows.where("false"), ["page_id"]).collect() == []
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<tr>hello", "hello"), ("<tbody><br>a<div>b</div>c", "a\nb\nc"), ("<thead><span>x</span> y", "x y"), ("<td>a</td><td>b</td>", "ab"),
+    ("<table><tr><td>1</table><tr>late<td>row</tr>end", "1\n\nlaterowend"), ("<caption>c<tr><p>d", "c\n\nd"), ("<col>x<colgroup>y", "xy"),
+])
+def test_table_parts_outside_a_table_are_ignored_and_their_text_stays(html, text):
+    assert H.page_text(html)[0] == text
