@@ -1,10 +1,11 @@
 """Toxicity: a linear-chain conditional random field tags toxic spans; its marginals give document scores.
 
 Tokens are runs of letters. Labels exist per document only, so training
-tokens are labelled first: a word or word beginning that occurs in many toxic
-documents and, at equal class sizes, with odds of at least 9 to 1 in toxic
-ones is evidence, and a token of a toxic document that carries evidence gets
-label 1; every other token gets label 0. The field has two states; a token's
+tokens are labelled first: a word or word beginning that occurs in a few toxic
+documents (see ``least``; near copies count once) and, at equal class sizes,
+with odds of at least 9 to 1 in toxic ones is evidence, and a token of a toxic
+document that carries evidence gets label 1; every other token gets label 0.
+The counts are made by Spark over all labelled training rows. The field has two states; a token's
 features are its word, its beginnings of 3 to 8 letters and its last 3
 letters, hashed into 2^20 weights, plus start and transition scores. It is
 trained by gradient steps on the exact log-likelihood (forward-backward).
@@ -14,9 +15,10 @@ their sum, its density and the number of tagged tokens enter a logistic function
 document labels at their natural share. Runs of tokens with marginals of at
 least one half are the toxic spans, as character offsets of the text.
 
-Fitting uses a bounded sample: at most ``per_class`` labelled documents of
-each class, those with the smallest keyed hash of their id (copies and near
-copies in it count once). Only ids with crc32(id as text) mod 5 other than 0
+The weights are fitted to a sample: at most ``per_class`` labelled documents of
+each class, those with the smallest keyed hash of their id, and for evidence
+that none of them holds the toxic document with the smallest hash that does
+(copies and near copies in it count once). Only ids with crc32(id as text) mod 5 other than 0
 are ever used. The model is 2^20 + 10 numbers whatever the data. Scoring covers
 every document in full.
 
@@ -45,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import id_remainder, pieces_of
+from ledgerline.llm.common import id_remainder, pieces_of, stored
 
 TOKEN = re.compile(r"[^\W\d_]+")
 HASH_BITS, BEGINNINGS, SLOTS = 20, range(3, 9), 8  # slots: word, ending, beginnings
@@ -139,8 +141,20 @@ def _sketch(tokens: list[str]) -> tuple[int, int]:
     return min(zlib.crc32(g) for g in grams), min(zlib.crc32(g, 77) for g in grams)
 
 
-def train(rows: list[tuple[str, int]], share: float) -> Model:
-    """Fit the field and the document function to (text, toxic) rows; ``share`` is the natural share of toxic."""
+def least(n1: int, n0: int) -> int:
+    """Toxic documents that evidence must occur in: five, more if chance alone would put so many in a class of this share.
+
+    At most 1.5% of the toxic ones (but five); the number does not grow with the rows.
+    """
+    chance = int(np.ceil(np.log(1e-3) / np.log(n1 / (n1 + n0))))
+    return max(min(5, n1), min(chance, int(np.ceil(0.015 * n1))))
+
+
+def train(rows: list[tuple[str, int]], share: float, strong: np.ndarray) -> Model:
+    """Fit the field and the document function to (text, toxic) rows.
+
+    ``share`` is the natural share of toxic; ``strong`` marks the features that are evidence.
+    """
     empty = Model(np.zeros(1 + (1 << HASH_BITS)), np.zeros(1), np.zeros((2, 2)), np.zeros(4), share, usable=False)
     vocabulary: dict[str, int] = {}
     chains, labels, seen = [], [], set()
@@ -160,12 +174,7 @@ def train(rows: list[tuple[str, int]], share: float) -> Model:
     for i, t in enumerate(vocabulary):
         f = features(t)[:SLOTS]
         table[i, :len(f)] = f
-    # evidence: words and beginnings by the number of documents of either class that hold them
-    evidence, in_docs = np.delete(table, 1, axis=1), np.zeros((2, 1 + (1 << HASH_BITS)), np.int32)
-    for chain, label in zip(chains, labels):
-        in_docs[label, np.unique(evidence[np.unique(chain)])] += 1
-    strong = (in_docs[1] >= max(min(5, n1), 0.015 * n1)) & (in_docs[1] / n1 >= 9 * (in_docs[0] + 0.5) / (n0 + 1))
-    strong[0] = False
+    evidence = np.delete(table, 1, axis=1)  # words and beginnings
     carries = strong[evidence].any(axis=1)
     ends = np.cumsum([len(c) for c in chains])
     ids = np.concatenate(chains)
@@ -228,23 +237,91 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
+def distinct_words(rows: DataFrame) -> DataFrame:
+    """(toxic, h, words): the distinct words of each labelled row with tokens; of near copies the one with the smallest h.
+
+    ``rows`` has (text, toxic, h); near copies are rows of a class that share one of the two minima of ``_sketch``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a, b in pieces_of([len(t) for t in whole.column(0).to_pylist()], 2_000_000):
+                part = whole.slice(a, b - a)
+                tokens = [TOKEN.findall(t) for t in part.column(0).to_pylist()]
+                marks = [_sketch(t) if t else (None, None) for t in tokens]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[1:], pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),
+                     pa.array([" ".join(sorted(set(t))) for t in tokens], pa.string())], ["toxic", "h", "m0", "m1", "words"])
+
+    each = rows.select("text", "toxic", "h").mapInArrow(run, "toxic int, h long, m0 long, m1 long, words string").where("m0 is not null")
+    for key, other in (("m0", "m1"), ("m1", "m0")):
+        each = each.groupBy("toxic", key).agg(F.min(F.struct("h", other, "words")).alias("x")).select("toxic", key, "x.*")
+    return each.select("toxic", "h", "words")
+
+
+def document_counts(words: DataFrame) -> DataFrame:
+    """(feature, n1, n0, h): toxic and clean documents that hold a word or beginning, and the smallest h of the toxic ones.
+
+    Feature 0 stands for the documents themselves.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((2, 1 + (1 << HASH_BITS)), np.int64)
+        h = np.full(n.shape[1], np.iinfo(np.int64).max)
+        known: dict[str, list[int]] = {}
+        for batch in batches:
+            for label, key, line in zip(*(c.to_pylist() for c in batch.columns)):
+                own = {0}
+                for w in line.split(" "):
+                    f = known.get(w)
+                    if f is None:
+                        f = features(w)[:SLOTS]
+                        f = known[w] = [f[0], *f[2:]]
+                    own.update(f)
+                at = np.fromiter(own, np.int64, len(own))
+                n[label, at] += 1
+                if label:
+                    h[at] = np.minimum(h[at], key)
+            if len(known) > 200_000:
+                known.clear()
+        at = np.flatnonzero(n.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, n[1, at], n[0, at], h[at])], ["feature", "n1", "n0", "h"])
+
+    return words.select("toxic", "h", "words").mapInArrow(run, "feature long, n1 long, n0 long, h long") \
+        .groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.min("h").alias("h"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 7) -> Model:
-    """Learn from at most ``per_class`` labelled documents of each class (none with remainder 0)."""
+    """Learn from the labelled documents (none with remainder 0): evidence from all, weights from a sample."""
     marked = labels.where("doc_id is not null and toxic is not null").where(id_remainder("doc_id", HELD_OUT_MOD) != 0) \
-        .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+        .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
     counts = {r[0]: r[1] for r in marked.groupBy("toxic").count().collect()}  # two rows
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.0
-    order = F.xxhash64(F.lit(seed), "doc_id")
-    picked = None
+    strong = np.zeros(1 + (1 << HASH_BITS), bool)
+    texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
+    found = stored(document_counts(distinct_words(texts.join(marked, "doc_id"))), "evidence")
+    every = found.where("feature = 0").head()
+    picked, last = None, None
     for label in (0, 1):
-        part = marked.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(per_class)
+        part = marked.where(F.col("toxic") == label).orderBy("h", "doc_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
-    # bounded: at most 2 * per_class ids
-    sample = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text")) \
-        .join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+        last = part.agg(F.max("h")).head()[0]
+    if every is not None and every["n1"] and every["n0"]:
+        n1, n0 = every["n1"], every["n0"]
+        good = found.where(f"feature > 0 and n1 >= {least(n1, n0)}").where(F.col("n1") / n1 >= 9 * (F.col("n0") + 0.5) / (n0 + 1))
+        good = good.select("feature", "h").toArrow()
+        strong[good.column("feature").to_numpy()] = True
+        more = np.unique(good.column("h").to_numpy())
+        more = more[more > last].tolist()  # evidence that no document of the sample holds
+        if more:
+            wanted = docs.sparkSession.createDataFrame([(x,) for x in more], "h long")
+            picked = picked.unionByName(marked.where("toxic = 1").join(wanted, "h", "left_semi"))
+    # at most 2 * per_class ids, and one for each evidence that they do not hold
+    sample = texts.join(F.broadcast(picked.select("doc_id", "toxic")), "doc_id") \
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     rows = sorted(zip(*(sample.toArrow().column(c).to_pylist() for c in ("doc_id", "text", "toxic"))))
-    return train([(text, label) for _, text, label in rows], share)
+    return train([(text, label) for _, text, label in rows], share, strong)
 
 
 SCHEMA = "score double, spans array<struct<begin:long,end:long,probability:double>>"

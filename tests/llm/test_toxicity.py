@@ -70,3 +70,31 @@ def test_edge_rows(spark, edge_docs, no_docs):
     none = T.tag(edge_docs, T.fit(edge_docs, labels.where("toxic = 0")), ["doc_id"]).collect()
     assert {r["score"] for r in none} == {0.0}
     assert {r["score"] for r in T.tag(edge_docs, T.fit(edge_docs, labels.where("false")), ["doc_id"]).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("per_class", [T.PER_CLASS, 150])
+def test_rare_families_of_every_language_are_learned(spark, per_class):
+    rng = np.random.default_rng(5)
+    words = {x: ["".join(rng.choice(list(letters), 6)) for _ in range(400)]
+             for x, letters in (("en", "aeioubcdfg"), ("ru", "абвгдежзик"), ("el", "αβγδεζηθικ"))}
+    slurs = {"en": "zzworgling", "ru": "щщумратый", "el": "ψψωφος"}
+    kept = lambda i: zlib.crc32(str(i).encode()) % 5 != 0
+    toxic = [i for i in range(3000) if i % 5 == 1]
+    rare = {}  # of some 480 toxic training rows 6 in each rare language (1.25%), and 3 held out
+    for learn, n in ((True, 6), (False, 3)):
+        ids = [i for i in toxic if kept(i) == learn]
+        rare |= dict.fromkeys(ids[:n], "ru") | dict.fromkeys(ids[-n:], "el")
+    rows = []
+    for i in range(3000):
+        lang = rare.get(i, "en") if i in set(toxic) else ("en", "ru", "el")[i % 3]
+        body = rng.choice(words[lang], 60).tolist()
+        if i % 5 == 1:
+            body[10] = body[30] = slurs[lang]
+        rows.append((i, " ".join(body), lang, int(i % 5 == 1)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    model = T.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"), per_class=per_class)
+    got = {r["doc_id"]: r["score"] >= 0.5 for r in T.tag(docs, model, ["doc_id"]).collect()}
+    for lang in words:
+        held = [(got[i], bool(y)) for i, _, x, y in rows if x == lang and not kept(i)]
+        assert sum(y for _, y in held) >= 3 and all(a for a, y in held if y)
+        assert sum(a == y for a, y in held) >= 0.98 * len(held)
