@@ -2,7 +2,8 @@
 
 The others have no statement: op2 (a trained random field), op4 (trained language
 models), op5 (an agenda with keyed drop-out), op6 (XXH64), op8 (an order by XXH64),
-op9 (a tree builder) and the pipeline that holds op2 and op5; tests hold them
+op9 (a tree builder), op11 (lags up to a quarter of each text), op13
+(approximate) and the pipeline that holds op2 and op5; tests hold them
 against brute-force versions, round trips and held-out rows.
 """
 
@@ -99,4 +100,20 @@ SELECT conv_id, count(*) AS n_turns,
 FROM f GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op1_warc": OP1, "op3_quality_rules": _op3(), "op7_decontamination": OP7, "op10_chat_formatting": OP10}
+_TERMS = rf"""regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"""
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS ws FROM benchmark),
+c AS (SELECT count(*) AS total, sum(len(ws)) AS length FROM d WHERE len(ws) > 0),
+q AS (SELECT item, t, count(*) AS times FROM (SELECT item, unnest(ws) AS t FROM b) GROUP BY ALL),
+tf AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ws) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2.0 * total + 2) / (2.0 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY t, total),
+v AS (SELECT tf.rid, d.doc_id, tf.t, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(d.ws) * total) // length)) AS v
+    FROM tf JOIN d ON tf.rid = d.rid, c),
+s AS (SELECT q.item, v.rid, any_value(v.doc_id) AS doc_id, sum(w.w * q.times * v.v) AS score FROM q JOIN v ON q.t = v.t JOIN w ON w.t = q.t GROUP BY ALL),
+r AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM r JOIN b ON r.item = b.item WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op1_warc": OP1, "op3_quality_rules": _op3(), "op7_decontamination": OP7, "op10_chat_formatting": OP10,
+                           "op12_lexical_search": OP12}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontam, html_text, langid, pieces, quality, sharding, simhash, toxicity, warc
+from ledgerline.llm import chat, decontam, html_text, langid, lexical, nearest, pieces, quality, runs, sharding, simhash, toxicity, warc
 from ledgerline.llm.common import drop_at_exit, id_remainder, scratch_path, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(formatted.withColumnRenamed("tree", "conv_id"), ["conv_id"])
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.planted(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return runs.digest(runs.periodic_runs(docs, ["doc_id"]))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.pmod("id", F.lit(nearest.QUERY_EVERY)) == 0)
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -95,4 +108,7 @@ QUERIES: dict[str, Query] = {name: _shipped(q) for name, q in {
     "op8_sharding": op8,
     "op9_html_extraction": op9,
     "op10_chat_formatting": op10,
+    "op11_periodic_runs": op11,
+    "op12_lexical_search": op12,
+    "op13_nearest_neighbours": op13,
 }.items()}
