@@ -65,3 +65,13 @@ RAW_TABLES = {
     "sales_pipeline": SALES_PIPELINE,
     "subscriptions": SUBSCRIPTIONS,
 }
+
+# The key of every raw-layer table: never null, never repeated. Account and product
+# of the pipeline are no references on purpose: the raw layer keeps null and misspelt ones.
+PRIMARY_KEYS = {
+    "accounts": ("account",),
+    "products": ("product",),
+    "sales_teams": ("sales_agent",),
+    "sales_pipeline": ("opportunity_id",),
+    "subscriptions": ("subscription_id",),
+}
