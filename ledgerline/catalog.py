@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
+from ledgerline.functions.digest import digests
+from ledgerline.functions.cleaning import canonicalize_values
 from ledgerline.jobs import JOBS, MARTS
 from ledgerline.operators import checks, presale, subscriptions
 from ledgerline.operators.subscriptions import derive_subscriptions
@@ -67,6 +69,33 @@ def _export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted
 
 
+def _load_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 by content: the digest of every loaded table, taken from its Parquet files."""
+    return digests(_load_round_trip(spark, sf_dir)).withColumnRenamed("rows", "row_count")
+
+
+def _mart_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 by content: the three marts written as CSV, read back and digested."""
+    t = b.tables(spark, sf_dir)
+    base = scratch_dir(spark, "marts")
+    marts = {name: fn(t) for name, fn in MARTS.items()}
+    paths = files.export_marts(marts, base)
+    remove_at_exit(spark, base)
+    return digests(files.read_marts(spark, marts, paths), "mart").withColumnRenamed("rows", "row_count")
+
+
+def _crm_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 / C2 by content: both import files written as CSV, read back and digested."""
+    t = b.tables_without_some_years(spark, sf_dir)
+    base = scratch_dir(spark, "crm")
+    tables = {name: JOBS[name](t) for name in ("crm_accounts", "crm_opportunities")}
+    for name, df in tables.items():
+        files.write_csv(df, f"{base}/{name}")
+    remove_at_exit(spark, base)
+    back = {name: files.read_csv(spark, f"{base}/{name}", df.schema, name) for name, df in tables.items()}
+    return digests(back, "file_name").withColumnRenamed("rows", "row_count")
+
+
 def _job(name: str) -> Query:
     return lambda spark, sf_dir: JOBS[name](b.tables(spark, sf_dir))
 
@@ -96,4 +125,14 @@ QUERIES.update({
     "untraceable_subscriptions": lambda s, d: checks.untraceable_subscriptions(
         b.tables(s, d).subscriptions, b.sales_pipeline(s, d, lost_every=100)),
     "export_marts": _export_marts,
+    # reconciliation by content
+    "load_digests": _load_digests,
+    "mart_digests": _mart_digests,
+    "crm_digests": _crm_digests,
+    # an id list with names that have two ids
+    "id_match_audit_repeated": lambda s, d: JOBS["id_match_audit"](b.tables_with_repeated_ids(s, d)),
+    "names_with_several_ids": lambda s, d: JOBS["names_with_several_ids"](b.tables_with_repeated_ids(s, d)),
+    "attach_repeated_ids": lambda s, d: JOBS["attach_external_ids"](b.tables_with_repeated_ids(s, d)),
+    # a value map with an entry for every account, as a table
+    "canonicalize_accounts": lambda s, d: canonicalize_values(b.tables(s, d).pipeline, {"account": b.account_fixes(s, d)}),
 })

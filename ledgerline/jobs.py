@@ -140,5 +140,6 @@ JOBS: dict[str, Callable[[Tables], DataFrame]] = {
     "export_product_distribution": lambda t: crm_export.value_distribution(opportunities(t), "Product"),
     "attach_external_ids": lambda t: crm_export.attach_external_ids(opportunities(t), _ids(t)),
     "id_match_audit": lambda t: crm_export.id_match_audit(opportunities(t), _ids(t)),
+    "names_with_several_ids": lambda t: crm_export.names_with_several_ids(opportunities(t), _ids(t)),
     "unmatched_sample": lambda t: crm_export.unmatched_sample(opportunities(t), _ids(t)),
 }

@@ -37,24 +37,29 @@ def crm_accounts(accounts: DataFrame, sector_fixes: Mapping[str, str],
     )
 
 
-def _price_list(products: DataFrame) -> DataFrame:
+def _price_list(products: DataFrame, ordinal: str | None = None) -> DataFrame:
     # One price per product name: a lookup keeps a single value where a SQL
-    # join would fan out; the highest listed price is taken for a duplicate.
-    return products.groupBy("product").agg(F.max("sales_price").alias("sales_price"))
+    # join would fan out. With the rows' places in their source the last one of a
+    # duplicate counts, as in a dictionary; otherwise the highest listed price.
+    price = F.max_by("sales_price", ordinal) if ordinal else F.max("sales_price")
+    return products.groupBy("product").agg(price.alias("sales_price"))
 
 
 def crm_opportunities(pipeline: DataFrame, products: DataFrame, product_fixes: Mapping[str, str],
                       as_of: str | dt.date, stage_map: Mapping[str, str] = STAGE_MAP,
-                      horizon_days: int = PLACEHOLDER_DAYS) -> DataFrame:
+                      horizon_days: int = PLACEHOLDER_DAYS, ordinal: str | None = None) -> DataFrame:
     """Opportunity import rows for deals with an account.
 
+    ``ordinal`` names the source-place column of ``products`` (see ``files.read_csv``): the last listed price
+    of a repeated product counts then.
+
     Close date: close_date, else engage_date + horizon, else as_of + horizon.
     Amount: close_value, else the cleaned product's list price, else 0.
     ``as_of`` is an argument so results never depend on the clock.
     """
     as_of_col = F.lit(str(as_of)).cast("date")
     deals = canonicalize_values(pipeline.filter(F.col("account").isNotNull()), {"product": product_fixes})
-    priced = join_dimension(deals, _price_list(products), "product", how="left", spread_col="opportunity_id")
+    priced = join_dimension(deals, _price_list(products, ordinal), "product", how="left", spread_col="opportunity_id")
     close = F.coalesce(F.col("close_date"), F.date_add("engage_date", horizon_days),
                        F.date_add(as_of_col, horizon_days))
     amount = F.coalesce(F.col("close_value").cast("decimal(38,2)"), F.col("sales_price").cast("decimal(38,2)"),
@@ -124,14 +129,38 @@ def attach_external_ids(opportunities: DataFrame, ids: DataFrame) -> DataFrame:
     return matched.select("Opportunity Name", F.col("Id").alias("AccountId"), *rest, *more)
 
 
+def _id_counts(ids: DataFrame) -> DataFrame:
+    """One row for each name of the id list, with the number of its ids."""
+    return ids.where(F.col("Name").isNotNull()).groupBy("Name").agg(F.count(F.lit(1)).alias("__ids"))
+
+
 def id_match_audit(opportunities: DataFrame, ids: DataFrame) -> DataFrame:
-    """Matched and unmatched row counts of the id merge."""
-    m = _with_match(opportunities, ids)
-    return m.agg(F.count_if(F.col("__hit").isNotNull()).alias("matched"),
-                 F.count_if(F.col("__hit").isNull()).alias("unmatched"))
+    """Matched and unmatched row counts of the id merge, and what names with several ids do to it.
+
+    ``names_with_several_ids`` counts the names that occur more than once in the list and in an opportunity,
+    ``rows_gained`` the rows by which the merge exceeds the opportunities. Names are counted before
+    the join on both sides, so a repeated name never multiplies rows here.
+    """
+    names = opportunities.groupBy("Account Name").agg(F.count(F.lit(1)).alias("__rows"))
+    met = join_dimension(names, _id_counts(ids), "Account Name", "Name", how="left", spread_col="__rows")
+    n, rows = F.col("__ids"), F.col("__rows")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return met.agg(total(F.when(n.isNotNull(), rows * n)).alias("matched"), total(F.when(n.isNull(), rows)).alias("unmatched"),
+                   F.count_if(n > 1).alias("names_with_several_ids"), total(F.when(n > 1, rows * (n - 1))).alias("rows_gained"))
+
+
+def names_with_several_ids(opportunities: DataFrame, ids: DataFrame) -> DataFrame:
+    """(Account Name, ids, opportunities, rows_gained) of every name that the merge repeats."""
+    names = opportunities.groupBy("Account Name").agg(F.count(F.lit(1)).alias("opportunities"))
+    met = names.join(_id_counts(ids).where("__ids > 1"), F.col("Account Name") == F.col("Name"))
+    return met.select("Account Name", F.col("__ids").alias("ids"), "opportunities", (F.col("opportunities") * (F.col("__ids") - 1)).alias("rows_gained"))
 
 
-def unmatched_sample(opportunities: DataFrame, ids: DataFrame, n: int = 10) -> DataFrame:
-    """The first n distinct unmatched account names (by name)."""
+def unmatched_sample(opportunities: DataFrame, ids: DataFrame, n: int = 10, ordinal: str | None = None) -> DataFrame:
+    """The first n distinct unmatched account names, by name, or by first occurrence if ``ordinal`` names
+    the source-place column of ``opportunities``."""
     m = _with_match(opportunities, ids).filter(F.col("__hit").isNull())
+    if ordinal:
+        first = m.groupBy("Account Name").agg(F.min(ordinal).alias("__first"))
+        return first.orderBy("__first").limit(n).select("Account Name")
     return m.select("Account Name").distinct().orderBy(F.asc_nulls_last("Account Name")).limit(n)

@@ -212,6 +212,22 @@ def tables_without_some_years(spark: SparkSession, sf_dir: str):
     return replace(t, accounts=t.accounts.select(*[year if c == "year_established" else F.col(c) for c in t.accounts.columns]))
 
 
+def tables_with_repeated_ids(spark: SparkSession, sf_dir: str):
+    """The tables with an id list in which every seventh customer's name has a second id."""
+    from dataclasses import replace
+
+    t = tables(spark, sf_dir)
+    again = read(spark, sf_dir, "customer").where(F.col("c_custkey") % 7 == 0).select(
+        F.col("c_name").alias("Name"), F.concat(F.lit("002"), F.lpad(F.col("c_custkey").cast("string"), 15, "0")).alias("Id"))
+    return replace(t, external_ids=t.external_ids.unionByName(again))
+
+
+def account_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value map as large as the accounts (CLN1): every third customer's name gets a suffix."""
+    c = read(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 == 0)
+    return c.select(F.col("c_name").alias("bad"), F.concat("c_name", F.lit(" Ltd")).alias("good"))
+
+
 @dataclass
 class Roles:
     spark: SparkSession
