@@ -173,6 +173,13 @@ def test_exported_marts_hold_the_same_content(spark):
     assert got["expected_rows"] == got["actual_rows"] and not got["same_content"]
 
 
+def test_empty_texts_and_nulls_are_one_in_csv(spark):
+    marts = {"m": spark.createDataFrame([("", 1), (None, 2), ("x", None)], "s string, k int")}
+    paths = files.export_marts(marts, tempfile.mkdtemp(prefix="ledgerline-marts-"))
+    assert files.check_export(spark, marts, paths).head()["same_content"]
+    assert not reconcile(marts, files.read_marts(spark, marts, paths)).head()["same_content"]
+
+
 def test_the_manifest_holds_the_digests(spark, wh):
     tables = wh.load("p,s,1\nq,s,2\n")
     entry = publish.current(spark, wh.root)["products"]
