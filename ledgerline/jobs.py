@@ -72,6 +72,11 @@ def _ids(t: Tables) -> DataFrame:
     return t.external_ids
 
 
+def live_scorecard(t: Tables) -> DataFrame:
+    """The scorecard as a plan alone: nothing runs until it is queried."""
+    return marts.agent_scorecard(t.pipeline, t.sales_teams, live=True)
+
+
 MARTS: dict[str, Callable[[Tables], DataFrame]] = {
     "vw_pipeline_summary": summary,
     "vw_agent_scorecard": scorecard,

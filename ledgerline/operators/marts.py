@@ -48,13 +48,14 @@ def pipeline_summary(pipeline: DataFrame, products: DataFrame, teams: DataFrame,
     )
 
 
-def agent_scorecard(pipeline: DataFrame, teams: DataFrame) -> DataFrame:
+def agent_scorecard(pipeline: DataFrame, teams: DataFrame, live: bool = False) -> DataFrame:
     """M2: one row per agent present in the pipeline, with a bookings rank.
 
     Deals are pre-aggregated per agent, then joined to the team table and
     re-grouped by (agent, manager, office) with additive sums, which equals
     grouping the joined deals. RANK is descending with nulls last and runs
-    without a single-partition window.
+    without a single-partition window. With ``live`` no job runs before the result is
+    asked for (see ``plans.ranking``), as a view needs it.
     """
     won = F.col("deal_stage") == "Won"
     days = F.when(won, day_diff("close_date", "engage_date"))
@@ -75,7 +76,7 @@ def agent_scorecard(pipeline: DataFrame, teams: DataFrame) -> DataFrame:
         from_cents("_b").alias("total_bookings"))
     ranked = rank_within(card, [], [desc("total_bookings", nulls_first=False)],
                          [asc("sales_agent", nulls_first=True), asc("manager", nulls_first=True),
-                          asc("regional_office", nulls_first=True)], out="bookings_rank")
+                          asc("regional_office", nulls_first=True)], out="bookings_rank", live=live)
     return ranked.select("sales_agent", "manager", "regional_office", "won_deals", "lost_deals",
                          "win_rate_pct", "avg_cycle_days", "total_bookings", "bookings_rank") \
                  .orderBy("bookings_rank", F.asc_nulls_last("sales_agent"))

@@ -77,14 +77,15 @@ def churn_by_sector(subs: DataFrame, accounts: DataFrame) -> DataFrame:
         .orderBy(F.desc_nulls_first("churn_rate_pct"), F.asc_nulls_last("sector"))
 
 
-def churn_by_size_quartile(subs: DataFrame, tiles: int = 4) -> DataFrame:
+def churn_by_size_quartile(subs: DataFrame, tiles: int = 4, live: bool = False) -> DataFrame:
     """NTILE(tiles) by starting ARR over all subscriptions, churn per tile.
 
     Ties in starting ARR are split by subscription_id (the reference leaves
-    them undefined). The tile is computed without a single-partition window.
+    them undefined). The tile is computed without a single-partition window; ``live``
+    as in ``plans.ranking``.
     """
     sized = ntile(subs.select("subscription_id", "starting_arr", "renewal_outcome"), tiles,
-                  [asc("starting_arr"), asc("subscription_id")], out="size_quartile")
+                  [asc("starting_arr"), asc("subscription_id")], out="size_quartile", live=live)
     parts = sized.groupBy("size_quartile").agg(
         money(F.min("starting_arr")).alias("min_arr_in_quartile"),
         money(F.max("starting_arr")).alias("max_arr_in_quartile"),

@@ -168,14 +168,15 @@ def monthly_bookings(pipeline: DataFrame) -> DataFrame:
               .orderBy(F.asc_nulls_last("month"))
 
 
-def agent_quarter_rank(pipeline: DataFrame) -> DataFrame:
+def agent_quarter_rank(pipeline: DataFrame, live: bool = False) -> DataFrame:
     """Bookings per agent and quarter with RANK() per quarter, bookings descending,
-    nulls first (Postgres default). Ranked without a per-quarter single task."""
+    nulls first (Postgres default). Ranked without a per-quarter single task; ``live``
+    as in ``plans.ranking``."""
     agg = pipeline.filter(_won()).groupBy(quarter_start("close_date").alias("quarter"), "sales_agent").agg(
         F.count(F.lit(1)).alias("deals_closed"), F.sum("close_value").alias("bookings"))
     agg = agg.withColumn("bookings", money("bookings"))
     ranked = rank_within(agg, ["quarter"], [desc("bookings", nulls_first=True)],
-                         [asc("sales_agent", nulls_first=True)], out="rank_in_quarter")
+                         [asc("sales_agent", nulls_first=True)], out="rank_in_quarter", live=live)
     return ranked.select("quarter", "sales_agent", "deals_closed", "bookings", "rank_in_quarter") \
                  .orderBy(F.asc_nulls_last("quarter"), "rank_in_quarter", F.asc_nulls_last("sales_agent"))
 

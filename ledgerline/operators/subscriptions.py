@@ -109,13 +109,13 @@ def derive_subscriptions(pipeline: DataFrame, seed=SEED, outcomes: Sequence[Outc
 
 
 def number_subscriptions(subs: DataFrame, order_by: Sequence[str] = ("opportunity_id",),
-                         prefix: str = "SUB-", width: int = 5) -> DataFrame:
+                         prefix: str = "SUB-", width: int = 5, live: bool = False) -> DataFrame:
     """Running ids ``SUB-00001`` ... in a fixed order. The reference
     numbers in file order: ``order_by`` the source place that ``files.read_csv(...,
     ordinal=...)`` adds gives the same ids; the default is the opportunity's key. The row
     number is distributed (no single-partition window); ``format_string``
     keeps every digit past ``width``, where ``lpad`` would cut them."""
-    seq = sequence(subs, [asc(c) for c in order_by], out="__seq")
+    seq = sequence(subs, [asc(c) for c in order_by], out="__seq", live=live)
     return seq.withColumn("subscription_id", F.format_string(f"{prefix}%0{width}d", F.col("__seq"))) \
               .select(*([] if "subscription_id" in subs.columns else ["subscription_id"]), *subs.columns)
 

@@ -16,6 +16,12 @@ distributed steps only:
 3. Rows per range partition (one row per partition, so bounded by the
    partition count) -> running offsets -> broadcast -> global row number.
 
+With ``live=True`` nothing runs while the plan is built, so a view of it shows the rows
+that are there when it is queried: the ranges come from splitters that the query itself
+finds (see ``_live_positions``) instead of a checkpointed sample. It reads its input
+four times, so it is meant for views over pre-aggregated rows and for results that
+must not be a snapshot; the default reads it once.
+
 ``rank`` is the place of the first peer (equal partition and order keys): one
 window per range partition finds it inside the partition, and a
 one-row-per-partition summary carries it across partition boundaries (see
@@ -71,16 +77,58 @@ def _positions(df: DataFrame, keys: Sequence[Key]) -> DataFrame:
                                "__pos": F.col("__mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))}).drop("__mid")
 
 
+SAMPLED_KEYS = 20_000  # keys that the splitters of a live plan are chosen from, about
+
+
+def _before(keys: Sequence[Key], a, b) -> Column:
+    """Whether the key struct ``a`` comes before ``b``; fields k0, k1, ..."""
+    out = F.lit(False)
+    for i, k in reversed(list(enumerate(keys))):
+        x, y = a[f"k{i}"], b[f"k{i}"]
+        nulls = (x.isNull() & y.isNotNull()) if k.nulls_first else (x.isNotNull() & y.isNull())
+        less = F.coalesce(x < y if k.ascending else x > y, F.lit(False)) | nulls
+        out = less | (x.eqNullSafe(y) & out)
+    return out
+
+
+def _live_positions(df: DataFrame, keys: Sequence[Key]) -> DataFrame:
+    """``_positions`` without a job: the splitters are scalar subqueries of the plan.
+
+    A key belongs to the sample if its hash is small enough for about ``SAMPLED_KEYS`` keys of all
+    rows to be; the sample's quantiles are the splitters, as many as shuffle partitions, and a row's
+    range is found by binary search. Hashes and quantiles depend on the rows only, so a
+    recomputed task finds the same ranges. The sort keys should end with a unique one: then a
+    hot value is spread over several ranges.
+    """
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = F.struct(*[F.col(f"`{k.name}`").alias(f"k{i}") for i, k in enumerate(keys)])
+    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    share = (F.xxhash64(F.lit(29), *[f"`{k.name}`" for k in keys]).cast("double") / F.lit(2.0 ** 64) + 0.5) * rows
+    ordered = F.array_sort(F.collect_set(key), lambda a, b: F.when(_before(keys, a, b), -1).when(_before(keys, b, a), 1).otherwise(0))
+    chosen = df.where(share <= SAMPLED_KEYS).agg(ordered.alias("s"))
+    at = lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / parts).cast("int"))
+    cuts = chosen.select(F.filter(F.transform(F.sequence(F.lit(1), F.lit(max(1, parts - 1))), at), lambda x: x.isNotNull()).alias("cuts")).scalar()
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(parts.bit_length()))])
+    keyed = df.withColumns({"__key": key, "__cuts": cuts})
+    c, own = F.col("__cuts"), F.col("__key")
+    # the number of splitters before the row's key
+    found = F.aggregate(steps, F.lit(0), lambda low, step: F.when(
+        (low + step <= F.size(c)) & _before(keys, F.get(c, low + step - 1), own), low + step).otherwise(low))
+    placed = keyed.withColumn("__pid", found.cast("long")).drop("__key", "__cuts")
+    inside = Window.partitionBy("__pid").orderBy(*[k.order() for k in keys]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return placed.withColumn("__pos", F.count(F.lit(1)).over(inside) - 1)
+
+
 def _parts():
     """Windows over one row per range partition (bounded by the partition count): in order, and all before a row."""
     order = Window.orderBy("__pid")
     return order, order.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def sequence(df: DataFrame, keys: Sequence[Key], out: str = "_rn", total: str | None = None) -> DataFrame:
+def sequence(df: DataFrame, keys: Sequence[Key], out: str = "_rn", total: str | None = None, live: bool = False) -> DataFrame:
     """Add ``out``: 1-based global row number in the order ``keys`` (make it total
     with a unique tiebreak key). Optionally ``total``: the number of rows."""
-    placed = _positions(df, keys)
+    placed = _live_positions(df, keys) if live else _positions(df, keys)
     _, before = _parts()
     offsets = placed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).select(
         "__pid",
@@ -102,7 +150,7 @@ def _changed(names: Sequence[str], order: Window) -> Column:
 
 
 def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Key],
-                tiebreak: Sequence[Key], out: str = "rank") -> DataFrame:
+                tiebreak: Sequence[Key], out: str = "rank", live: bool = False) -> DataFrame:
     """``RANK() OVER (PARTITION BY partition_by ORDER BY order_by)`` as INT.
 
     ``tiebreak`` (unique together with the other keys) only spreads peers over
@@ -116,7 +164,8 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[K
     run continues the one before it, and where that run began. No join on the
     peer key, so a hot peer group never meets in one task.
     """
-    placed = _positions(df, [*(Key(p, True, True) for p in partition_by), *order_by, *tiebreak])
+    place = _live_positions if live else _positions
+    placed = place(df, [*(Key(p, True, True) for p in partition_by), *order_by, *tiebreak])
     order, before = _parts()
     runs = {"g": list(partition_by), "p": [*partition_by, *[k.name for k in order_by]]}
     inside = Window.partitionBy("__pid").orderBy("__pos")
@@ -147,7 +196,7 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[K
                  .drop("__pid", "__pos", "__off", *[f"__{x}_{r}" for r in runs for x in ("new", "at", "from")])
 
 
-def ntile(df: DataFrame, k: int, order_by: Sequence[Key], out: str = "ntile") -> DataFrame:
+def ntile(df: DataFrame, k: int, order_by: Sequence[Key], out: str = "ntile", live: bool = False) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY order_by)`` over all rows, as INT.
 
     ``order_by`` must be a total order (end it with a unique key): with ties
@@ -157,7 +206,7 @@ def ntile(df: DataFrame, k: int, order_by: Sequence[Key], out: str = "ntile") ->
     """
     if k <= 0:
         raise ValueError("ntile needs k >= 1")
-    seq = sequence(df, order_by, out="__rn", total="__n")
+    seq = sequence(df, order_by, out="__rn", total="__n", live=live)
     rn, n = F.col("__rn"), F.col("__n")
     q = F.call_function("div", n, F.lit(k))
     r = F.pmod(n, F.lit(k))

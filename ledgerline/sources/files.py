@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ledgerline import schemas
 from ledgerline.functions.digest import digest, reconcile
-from ledgerline.sources import publish, records
+from ledgerline.sources import publish, records, views
 
 
 @dataclass(frozen=True)
@@ -228,6 +228,7 @@ def load_raw(spark: SparkSession, plan: Sequence[LoadStep], out_dir: str | None
             spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{step.table}` AS SELECT * FROM {catalog(step.table, generation)}")
         for table, old in gone:
             spark.sql(f"DROP TABLE IF EXISTS {catalog(table, old)}")
+    views.renew(spark, out_dir)
     return tables
 
 

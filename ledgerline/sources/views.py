@@ -2,16 +2,21 @@
 
 Spark temp-view names cannot contain a dot, so the reference's ``raw.<table>``
 and ``analytics.<view>`` become ``raw_<table>`` and ``analytics_<view>``.
-Views are plans, not copies: querying one runs the job. The scorecard's plan
-contains a ranking that numbers its rows when the plan is built, so
-``register_layers`` builds only the views that a statement names.
+Views are plans, not copies: registering one runs nothing (the scorecard ranks
+with live splitters, see ``plans.ranking``), querying one runs the job on the rows
+that are there then.
+
+A plan reads the files of the load that was in force when it was made.
+``register_warehouse`` therefore remembers which views stand on a warehouse folder,
+and a load into that folder registers them again, so the same names show
+the new rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def register(frames: Mapping[str, DataFrame], prefix: str) -> list[str]:
@@ -28,10 +33,38 @@ def register_layers(tables, statement: str | None = None) -> list[str]:
 
     With ``statement``, only the views whose names occur in it.
     """
-    from ledgerline.jobs import MARTS
+    from ledgerline.jobs import MARTS, live_scorecard
 
     def named(view: str) -> bool:
         return statement is None or view.lower() in statement.lower()
 
+    marts = {**MARTS, "vw_agent_scorecard": live_scorecard}
     names = register({n: df for n, df in tables.raw().items() if named(f"raw_{n}")}, "raw_")
-    return names + register({n: fn(tables) for n, fn in MARTS.items() if named(f"analytics_{n}")}, "analytics_")
+    return names + register({n: fn(tables) for n, fn in marts.items() if named(f"analytics_{n}")}, "analytics_")
+
+
+def _standing(spark: SparkSession) -> dict[str, Callable[[], list[str]]]:
+    """What to register again after a load, by warehouse folder (of this session)."""
+    return spark.__dict__.setdefault("_ledgerline_views", {})
+
+
+def register_warehouse(spark: SparkSession, root: str) -> list[str]:
+    """The views of both layers over the tables in force under ``root``, renewed by every later load into it."""
+    from ledgerline import schemas
+    from ledgerline.jobs import Tables
+    from ledgerline.sources import files
+
+    def build() -> list[str]:
+        t = {n: files.read_table(spark, f"{root}/{n}", kind) for n, kind in schemas.RAW_TABLES.items()}
+        return register_layers(Tables(accounts=t["accounts"], products=t["products"], sales_teams=t["sales_teams"],
+                                      pipeline=t["sales_pipeline"], subscriptions_table=t["subscriptions"]))
+
+    _standing(spark)[root.rstrip("/")] = build
+    return build()
+
+
+def renew(spark: SparkSession, root: str) -> None:
+    """Register the views that stand on ``root`` again (after a load)."""
+    build = _standing(spark).get(root.rstrip("/"))
+    if build:
+        build()

@@ -46,6 +46,8 @@ def test_rank_matches_direct_definition(spark):
         for nulls_first in (True, False):
             got = {r["id"]: r["rk"] for r in rank_within(
                 df, ["g"], [desc("v", nulls_first=nulls_first)], [asc("id")], out="rk").collect()}
+            live = rank_within(df, ["g"], [desc("v", nulls_first=nulls_first)], [asc("id")], out="rk", live=True)
+            assert got == {r["id"]: r["rk"] for r in live.collect()}
             for rid, g, v in rows:
                 peers = [w for _, h, w in rows if h == g]
                 if v is None:
