@@ -5,7 +5,9 @@ tokens are labelled first: a word or word beginning that occurs in a few toxic
 documents (see ``least``; near copies count once) and, at equal class sizes,
 with odds of at least 9 to 1 in toxic ones is evidence, and a token of a toxic
 document that carries evidence gets label 1; every other token gets label 0.
-The counts are made by Spark over all labelled training rows. The field has two states; a token's
+The counts are made by Spark over at most about ``evidence_rows`` labelled
+training rows of each class, those with the smallest keyed hash of their id: the ids are
+chosen first and broadcast to the scan, so no other text moves. The field has two states; a token's
 features are its word, its beginnings of 3 to 8 letters and its last 3
 letters, hashed into 2^20 weights, plus start and transition scores. It is
 trained by gradient steps on the exact log-likelihood (forward-backward).
@@ -17,8 +19,13 @@ least one half are the toxic spans, as character offsets of the text.
 
 The weights are fitted to a sample: at most ``per_class`` labelled documents of
 each class, those with the smallest keyed hash of their id, and for evidence
-that none of them holds the toxic document with the smallest hash that does
-(copies and near copies in it count once). Only ids with crc32(id as text) mod 5 other than 0
+that none of them holds the toxic document with the smallest hash that does, at
+most ``extra`` of these
+(copies and near copies in it count once). In the order of their hashes, the
+texts of the sample are taken up to ``sample_bytes``; a text of more than a
+sixteenth of that is not sampled. These are bounds on rows that fit the classifier; a
+word that is rarer among toxic documents than one in a few thousand may not be
+learned. Only ids with crc32(id as text) mod 5 other than 0
 are ever used. The model is 2^20 + 10 numbers whatever the data. Scoring covers
 every document in full.
 
@@ -52,6 +59,7 @@ from ledgerline.llm.common import id_remainder, pieces_of, stored
 TOKEN = re.compile(r"[^\W\d_]+")
 HASH_BITS, BEGINNINGS, SLOTS = 20, range(3, 9), 8  # slots: word, ending, beginnings
 PER_CLASS, ROUNDS, RATE, RIDGE = 1200, 40, 0.5, 1e-4
+EVIDENCE_ROWS, EXTRA, SAMPLE_BYTES = 20_000, 1200, 32_000_000
 BLOCK = 128
 HELD_OUT_MOD = 5
 
@@ -291,16 +299,39 @@ def document_counts(words: DataFrame) -> DataFrame:
         .groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.min("h").alias("h"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 7) -> Model:
-    """Learn from the labelled documents (none with remainder 0): evidence from all, weights from a sample."""
+def _below(n: int, of: int) -> int:
+    """The hash (a signed long) below which about ``n`` of ``of`` evenly spread ones lie."""
+    return (1 << 63) - 1 if of <= n else (n << 64) // of - (1 << 63)
+
+
+def _sampled(texts: DataFrame, ids: DataFrame, limit: int) -> list[tuple[str, int]]:
+    """(text, toxic) of the chosen ids by hash, then id, up to ``limit`` bytes of text."""
+    found = texts.join(F.broadcast(ids), "doc_id").withColumn("size", F.octet_length("text")).where(F.col("size") <= limit // 16) \
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"), F.min("h").alias("h"), F.max("size").alias("size"))
+    found = stored(found, "sample")
+    taken, total = [], 0
+    for r in found.select("doc_id", "size").orderBy("h", "doc_id").collect():  # a row for each id
+        if total + r["size"] <= limit:
+            taken.append(r["doc_id"])
+            total += r["size"]
+    sample = found.where(F.col("doc_id").isin(taken)).select("doc_id", "text", "toxic").toArrow()
+    return [(text, label) for _, text, label in sorted(zip(*(sample.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))))]
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 7, evidence_rows: int = EVIDENCE_ROWS,
+        extra: int = EXTRA, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Learn from labelled documents (none with remainder 0): evidence from ``evidence_rows`` a class, weights from a sample."""
     marked = labels.where("doc_id is not null and toxic is not null").where(id_remainder("doc_id", HELD_OUT_MOD) != 0) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
     counts = {r[0]: r[1] for r in marked.groupBy("toxic").count().collect()}  # two rows
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.0
     strong = np.zeros(1 + (1 << HASH_BITS), bool)
+    rows = max(evidence_rows, per_class)
+    marked = stored(marked.where(" or ".join(f"(toxic = {int(c)} and h <= {_below(rows, n)})" for c, n in counts.items()) or "false"), "marked")
     texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
-    found = stored(document_counts(distinct_words(texts.join(marked, "doc_id"))), "evidence")
+    # about evidence_rows ids of each class, so the broadcast is bounded; texts of other rows go no further than the scan
+    found = stored(document_counts(distinct_words(texts.join(F.broadcast(marked), "doc_id"))), "evidence")
     every = found.where("feature = 0").head()
     picked, last = None, None
     for label in (0, 1):
@@ -313,15 +344,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: in
         good = good.select("feature", "h").toArrow()
         strong[good.column("feature").to_numpy()] = True
         more = np.unique(good.column("h").to_numpy())
-        more = more[more > last].tolist()  # evidence that no document of the sample holds
+        more = more[more > last].tolist()[:extra]  # evidence that no document of the sample holds
         if more:
             wanted = docs.sparkSession.createDataFrame([(x,) for x in more], "h long")
-            picked = picked.unionByName(marked.where("toxic = 1").join(wanted, "h", "left_semi"))
-    # at most 2 * per_class ids, and one for each evidence that they do not hold
-    sample = texts.join(F.broadcast(picked.select("doc_id", "toxic")), "doc_id") \
-        .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    rows = sorted(zip(*(sample.toArrow().column(c).to_pylist() for c in ("doc_id", "text", "toxic"))))
-    return train([(text, label) for _, text, label in rows], share, strong)
+            picked = picked.unionByName(marked.where("toxic = 1").join(wanted, "h", "left_semi").select(marked.columns))
+    # at most 2 * per_class ids, and ``extra`` for evidence that they do not hold
+    return train(_sampled(texts, picked, sample_bytes), share, strong)
 
 
 SCHEMA = "score double, spans array<struct<begin:long,end:long,probability:double>>"
