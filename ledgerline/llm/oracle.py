@@ -29,13 +29,13 @@ FROM d
 def _op3() -> str:
     value = lambda r: f"CASE WHEN {r.bottom} > 0 THEN {r.scale} * {r.top} // {r.bottom} END"
     long = " UNION ALL ".join(
-        f"SELECT lang, source, '{r.name}' AS rule, {value(r)} AS v FROM m WHERE NOT base_failed AND {r.bottom} > 0" for r in RULES)
+        f"SELECT lang, source, '{r.name}' AS rule, {value(r)} AS v FROM once WHERE {r.bottom} > 0" for r in RULES)
 
     def quart(name: str, keys: str) -> str:
         by = f"{keys}, rule" if keys else "rule"
         head = f"{keys}, " if keys else ""
-        return f"""{name} AS (SELECT {head}rule, max(total) AS total, min(CASE WHEN 2 * up >= total THEN value END) AS q50,
-            min(CASE WHEN 4 * up >= 3 * total THEN value END) AS q75 FROM (
+        return f"""{name} AS (SELECT {head}rule, max(total) AS total, min(CASE WHEN 4 * up >= total THEN value END) AS q25,
+            min(CASE WHEN 2 * up >= total THEN value END) AS q50 FROM (
             SELECT {head}rule, value, sum(n) OVER (PARTITION BY {by} ORDER BY value) AS up, sum(n) OVER (PARTITION BY {by}) AS total
             FROM (SELECT {head}rule, value, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY ALL)"""
 
@@ -50,16 +50,17 @@ w AS (SELECT *, list_filter(regexp_split_to_array(text, '{_SPACES}+'), lambda x:
 tri AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
 rep AS (SELECT rid, count(DISTINCT j) AS n FROM (
     SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM tri) WHERE c > 1) GROUP BY rid),
-b AS (SELECT w.rid, doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+b AS (SELECT w.rid, doc_id, lang, source, text, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
     CAST(len(ls) AS BIGINT) AS n_lines, CAST(length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')) AS BIGINT) AS n_capitals
     FROM w LEFT JOIN rep ON w.rid = rep.rid),
 m AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed FROM b),
+once AS (SELECT DISTINCT lang, source, text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals FROM m WHERE NOT base_failed),
 long AS ({long}),
 sketch AS (SELECT lang, source, rule, v - v % (1::BIGINT << greatest(length(bin(v)) - 6, 0)) AS value, count(*) AS n FROM long GROUP BY ALL),
 {quart("fine", "lang, source")}, {quart("by_lang", "lang")}, {quart("every", "")},
-cut AS (SELECT f.lang, f.source, f.rule, {pick("q75")} + greatest({REACH} * ({pick("q75")} - {pick("q50")}), {slack}) AS top
+cut AS (SELECT f.lang, f.source, f.rule, {pick("q50")} + greatest({REACH} * ({pick("q50")} - {pick("q25")}), {slack}) AS top
     FROM fine f LEFT JOIN by_lang l ON f.lang IS NOT DISTINCT FROM l.lang AND f.rule = l.rule LEFT JOIN every e ON f.rule = e.rule),
 tops AS (SELECT lang, source, {tops} FROM cut GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({broken}) AS kept

@@ -9,22 +9,24 @@ Every other rule has no fixed cutoff. Each measured ratio is an integer, and
 its distribution per (lang, source) is kept as a relational quantile sketch:
 one count per value bucket, where a bucket keeps the six leading binary digits
 of the value (relative error below 1/32, at most 32 * 59 + 64 buckets a
-group, whatever the number of rows). Sketches merge by adding counts, which
-partial aggregation does before any shuffle, so a hot source costs one row per
-bucket and task; merging also gives the sketch of a language and of all rows,
-used for groups of fewer than ``min_group`` rows. Counts are exact and do not
+group, whatever the number of rows). A text counts once in its (lang, source),
+so a group of copies cannot move a cutoff: rows are first grouped by the hash of
+their text and their measures, with partial aggregation. Sketches merge by adding
+counts; merging also gives the sketch of a language and of all rows,
+used for groups of fewer than ``min_group`` texts. Counts are exact and do not
 depend on the partitioning, so the verdicts are reproducible.
 
-A rule's cutoff for a group is the sketch's upper quartile plus ``reach``
-times the distance from median to upper quartile, but at least ``slack`` above
-the quartile, so that a group whose values hardly vary is not cut at its own
-noise. The cutoffs are stored and joined to the measured rows by (lang,
+A rule's cutoff for a group is the sketch's median plus ``reach``
+times the distance from lower quartile to median, but at least ``slack`` above
+the median, so that a group whose values hardly vary is not cut at its own
+noise. Both quartiles lie on the clean side: junk moves neither as long as it
+is less than half of a group's texts. The cutoffs are stored and joined to the measured rows by (lang,
 source); Catalyst broadcasts them by their size in bytes, otherwise the join
 is a shuffle join of the measured rows whose hot keys AQE splits.
 
 Defined cases: a null text has no words and fails the base rules, as does an
-empty one; null lang or source is a group of its own; repeated rows count each
-time and get equal verdicts; an empty table gives an empty result; columns
+empty one; null lang or source is a group of its own; repeated rows count
+once and get equal verdicts; an empty table gives an empty result; columns
 with clashing names are kept as they are in ``keep_good``.
 """
 
@@ -44,7 +46,7 @@ MIN_WORDS, REPEAT_PERCENT = 50, 50  # base rules of the contract
 
 @dataclass(frozen=True)
 class Rule:
-    """An integer ratio of a text and how far above its group's upper quartile it may lie."""
+    """An integer ratio of a text and how far above its group's median it may lie."""
     name: str
     top: str
     bottom: str
@@ -56,7 +58,7 @@ RULES = (
     Rule("symbols", "n_symbols", "word_chars", 1000, 30),
     Rule("word_length", "word_chars", "n_words", 100, 250),
     Rule("dup_lines", "n_dup_lines", "n_lines", 1000, 500),
-    Rule("repeats", "n_repeat_words", "n_words", 1000, 350),
+    Rule("repeats", "n_repeat_words", "n_words", 1000, 450),
     Rule("capitals", "n_capitals", "word_chars", 1000, 300),
 )
 REACH, MIN_GROUP = 4, 200
@@ -132,27 +134,32 @@ def sketches(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return rows.groupBy("lang", "source", "rule", bucket(F.col("v")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def distinct_texts(measured: DataFrame) -> DataFrame:
+    """One row for each text of a (lang, source) that passes the base rules; ``measured`` has the texts' hash as ``print``."""
+    return measured.where(~base_failed()).groupBy("lang", "source", "print", *MEASURES).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def merged(sketch: DataFrame, *keys: str) -> DataFrame:
     """Sketches of coarser groups, by adding counts."""
     return sketch.groupBy(*keys, "rule", "value").agg(F.sum("n").alias("n"))
 
 
 def quartiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """(keys, rule, total, q50, q75): the smallest bucket that at least half / three quarters of the rows do not exceed."""
+    """(keys, rule, total, q25, q50): the smallest bucket that at least a quarter / half of the texts do not exceed."""
     group = Window.partitionBy(*keys, "rule")
     run = sketch.withColumns({"up": F.sum("n").over(group.orderBy("value")), "total": F.sum("n").over(group)})
     return run.groupBy(*keys, "rule").agg(
         F.max("total").alias("total"),
-        F.min(F.when(2 * F.col("up") >= F.col("total"), F.col("value"))).alias("q50"),
-        F.min(F.when(4 * F.col("up") >= 3 * F.col("total"), F.col("value"))).alias("q75"))
+        F.min(F.when(4 * F.col("up") >= F.col("total"), F.col("value"))).alias("q25"),
+        F.min(F.when(2 * F.col("up") >= F.col("total"), F.col("value"))).alias("q50"))
 
 
 def cutoffs(sketch: DataFrame, rules: tuple[Rule, ...] = RULES, reach: int = REACH, min_group: int = MIN_GROUP) -> DataFrame:
-    """(lang, source, one cutoff column per rule), from the finest group that has ``min_group`` rows."""
+    """(lang, source, one cutoff column per rule), from the finest group that has ``min_group`` texts."""
     fine = quartiles(sketch, "lang", "source")
     lang = quartiles(merged(sketch, "lang"), "lang").select(
-        F.col("lang").alias("l"), F.col("rule").alias("r"), *[F.col(c).alias(f"l_{c}") for c in ("total", "q50", "q75")])
-    every = quartiles(merged(sketch)).select(F.col("rule").alias("r0"), F.col("q50").alias("e_q50"), F.col("q75").alias("e_q75"))
+        F.col("lang").alias("l"), F.col("rule").alias("r"), *[F.col(c).alias(f"l_{c}") for c in ("total", "q25", "q50")])
+    every = quartiles(merged(sketch)).select(F.col("rule").alias("r0"), F.col("q25").alias("e_q25"), F.col("q50").alias("e_q50"))
     met = fine.join(lang, fine["lang"].eqNullSafe(F.col("l")) & (F.col("rule") == F.col("r")), "left") \
         .join(every, F.col("rule") == F.col("r0"), "left")
 
@@ -160,7 +167,7 @@ def cutoffs(sketch: DataFrame, rules: tuple[Rule, ...] = RULES, reach: int = REA
         return F.when(F.col("total") >= min_group, F.col(q)).when(F.col("l_total") >= min_group, F.col(f"l_{q}")).otherwise(F.col(f"e_{q}"))
 
     slack = F.create_map(*[x for r in rules for x in (F.lit(r.name), F.lit(r.slack))])[F.col("rule")]
-    top = chosen("q75") + F.greatest(F.lit(reach) * (chosen("q75") - chosen("q50")), slack)
+    top = chosen("q50") + F.greatest(F.lit(reach) * (chosen("q50") - chosen("q25")), slack)
     return met.select("lang", "source", "rule", top.alias("top")).groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("rule") == r.name, F.col("top"))).alias(f"top_{r.name}") for r in rules])
 
@@ -175,17 +182,21 @@ def judged(measured: DataFrame, tops: DataFrame, rules: tuple[Rule, ...] = RULES
         .drop("t_lang", "t_source", *[f"top_{r.name}" for r in rules])
 
 
+def _print() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """(doc_id, lang, source, measures, base_failed, broken_rules, kept) for every row of ``docs``."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col("text"), F.col("lang"), F.col("source"))
-    measured = stored(measures(narrow).drop("text"), "measures")
-    return judged(measured, stored(cutoffs(sketches(measured), **options), "cutoffs"))
+    measured = stored(measures(narrow).withColumn("print", _print()).drop("text"), "measures")
+    return judged(measured, stored(cutoffs(sketches(distinct_texts(measured)), **options), "cutoffs")).drop("print")
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns (texts are measured once and not shuffled)."""
     row, = fresh(docs, "row_")
     packed = docs.select(F.struct(*docs.columns).alias(row), F.col("text"), F.col("lang"), F.col("source"))
-    measured = stored(measures(packed).drop("text"), "measured")
-    tops = stored(cutoffs(sketches(measured), **options), "cutoffs")
+    measured = stored(measures(packed).withColumn("print", _print()).drop("text"), "measured")
+    tops = stored(cutoffs(sketches(distinct_texts(measured)), **options), "cutoffs")
     return judged(measured, tops).where("kept").select(f"{row}.*")

@@ -67,3 +67,19 @@ def test_junk_goes_and_clean_documents_stay(spark):
     rows = Q.quality(docs).join(labels, "doc_id").where("not base_failed").collect()
     assert all(r["kept"] for r in rows if r["quality"] == 1)
     assert not any(r["kept"] for r in rows if r["quality"] == 0)
+
+
+def test_a_third_of_junk_copies_goes(spark):
+    """Copies, and different junk texts, of a third of a (lang, source) move no cutoff; the clean two thirds stay."""
+    import random
+
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(3000)]
+    clean = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(60, 90))) + rng.choice(["", " #x"])
+    junk = lambda: " ".join(rng.choice(words) + "####" for _ in range(70))
+    copy = junk()
+    rows = [(i, clean(), "en", "web") for i in range(600)] + [(600 + i, copy, "en", "web") for i in range(300)]
+    rows += [(1000 + i, clean(), "en", "blog") for i in range(600)] + [(1600 + i, junk(), "en", "blog") for i in range(300)]
+    kept = {r["doc_id"]: r["kept"] for r in Q.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(kept[i] for i in kept if i % 1000 >= 600)
+    assert all(kept[i] for i in kept if i % 1000 < 600)
