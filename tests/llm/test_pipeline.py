@@ -21,11 +21,15 @@ COLUMNS = {
     "op8_sharding": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
     "op10_chat_formatting": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string",
                              "formatted_chars": "bigint"},
+    "op11_periodic_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint",
+                           "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op12_lexical_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    "op13_nearest_neighbours": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
 }
 
 
 def test_all_operators_and_the_pipeline_are_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in pipeline.STAGES][2] == "SimHash near-dedup" and len(pipeline.STAGES) == 5
 
@@ -36,7 +40,7 @@ def test_contract_columns(spark, name):
     assert {c: kinds[c] for c in COLUMNS[name]} == COLUMNS[name]
 
 
-@pytest.mark.parametrize("name", ["op1_warc", "op3_quality_rules", "op7_decontamination", "op10_chat_formatting"])
+@pytest.mark.parametrize("name", ["op1_warc", "op3_quality_rules", "op7_decontamination", "op10_chat_formatting", "op12_lexical_search"])
 def test_matches_the_statement(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages", "benchmark", "conversations"):
