@@ -6,10 +6,9 @@ quotes before it: a doubled quote counts twice, so only the parity matters.
 Each split of a file has a parity of its own, and a running sum over the splits
 of a file (one short row each) says how every split begins:
 
-1. One pass over the lines gives, per split, rows, parity and whether all lines
-   are whole records. If all are, the file is read by Spark's own CSV reader, split
-   as it likes.
-2. Otherwise the lines of a split are put in order, each gets its record's
+1. One pass over the lines says whether all of them are whole records. If so, the
+   file is read by Spark's own CSV reader, split as it likes.
+2. Otherwise a table with the rows and the parity of each split is made, the lines of a split are put in order, each gets its record's
    number, and the lines of a record are joined where they are. Only the records
    that cross a split border, one a border at most, are brought together by file and
    record number.
@@ -25,7 +24,7 @@ splits and partitions; ``ordinal`` uses them as a stable place of each row.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,14 +38,24 @@ _FIELD = '(?:"(?:[^"]++|"")*+"|[^",\\r\\n]*+)'
 _RECORD = f"^{_FIELD}(?:,{_FIELD})*+$"
 
 
-@dataclass(frozen=True)
 class Layout:
-    """What one pass over the lines of a path found."""
+    """The lines of a path, and what each split of its files holds."""
 
-    lines: DataFrame  # file, split, place, line
-    splits: DataFrame  # file, split, first, n, odd (one row each, checkpointed)
-    all_whole: bool  # every line is a record of its own
-    n_splits: int
+    def __init__(self, lines: DataFrame, all_whole: bool):
+        self.lines = lines  # file, split, place, line
+        self.all_whole = all_whole  # every line is a record of its own
+
+    @cached_property
+    def splits(self) -> DataFrame:
+        """(file, split, first, n, odd): one row each, checkpointed; only made when it is needed."""
+        ensure_checkpoint_dir(self.lines.sparkSession)
+        return self.lines.groupBy("file", "split").agg(
+            F.min("place").alias("first"), F.count(F.lit(1)).alias("n"),
+            F.pmod(F.sum(_quotes(F.col("line"))), F.lit(2)).alias("odd")).checkpoint()
+
+    @cached_property
+    def n_splits(self) -> int:
+        return self.splits.count()
 
 
 def _quotes(c: Column) -> Column:
@@ -65,16 +74,12 @@ def _unended(c: Column) -> Column:
 
 
 def layout(spark: SparkSession, path: str) -> Layout:
-    """Lines of ``path`` and what each split holds; one pass over the text, one row a split shuffled per task."""
+    """One pass over the lines of ``path``; a task sends one value."""
     raw = spark.read.option("lineSep", "\n").text(path)
     lines = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
                        F.monotonically_increasing_id().alias("place"), F.col("value").alias("line"))
-    ensure_checkpoint_dir(spark)
-    splits = lines.groupBy("file", "split").agg(
-        F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.pmod(F.sum(_quotes(F.col("line"))), F.lit(2)).alias("odd"),
-        F.min(_whole(_unended(F.col("line")))).alias("whole")).checkpoint()
-    n, whole = splits.agg(F.count(F.lit(1)), F.min("whole")).head()
-    return Layout(lines, splits, whole is not False, n)
+    whole = raw.agg(F.min(_whole(_unended(F.col("value"))))).head()[0]
+    return Layout(lines, whole is not False)
 
 
 def _by_split(rows: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
