@@ -44,6 +44,7 @@ SEED = 42
 SEGMENTS, WIDTH = 4, 16  # a ring of four segments gives budgets 0, 1, 2, 3 for 3 bits
 _CHUNK = 1 << 16  # shingles whose bits are counted at once
 LINK_SCHEMA = "a long, b long"
+BROADCAST_ROWS = 4_000_000  # row numbers of eight bytes that are broadcast at most
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -308,9 +309,14 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 3, block_rows:
     packed = docs.select(F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"),
                          F.monotonically_increasing_id().alias("uid"))
     rows = stored(_with_prints(packed, "text", ["row", "id", "uid"], shingle), "printed")
-    distinct = stored(rows.select("fp").distinct(), "distinct")
-    of_print = print_roots(distinct, max_bits, block_rows)
-    per_print = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "uid")).alias("best"))
-    best = stored(per_print.join(of_print, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.uid"), "chosen")
-    # one plan at every size: the chosen numbers are up to all rows, so the join is never a broadcast
-    return rows.join(best.hint("merge"), "uid", "left_semi").select("row.*")
+    entry = F.struct(F.col("id").isNull().alias("z"), "id", "uid")
+    per_print = rows.groupBy("fp").agg(F.min(entry).alias("best"), F.count(F.lit(1)).alias("n"))
+    per_print = stored(per_print, "per_print")
+    of_print = per_print.join(print_roots(per_print.select("fp"), max_bits, block_rows), "fp")
+    groups = of_print.groupBy("root").agg(F.min("best").alias("best"), F.sum("n").alias("n")).where("n > 1").select("root", F.col("best.uid").alias("first"))
+    shared = of_print.join(groups, "root").select("fp", "first")
+    # numbers of the rows that go: few and narrow, unlike the rows that stay
+    drop = stored(rows.select("fp", "uid").join(shared, "fp").where("uid <> first").select("uid"), "dropped")
+    if drop.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(drop), "uid", "left_anti").select("row.*")
+    return rows.join(drop, "uid", "left_anti").select("row.*")
