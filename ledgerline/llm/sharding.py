@@ -2,9 +2,10 @@
 
 Records are ordered by (hash of the text, hash of the id, id), so that equal
 texts are neighbours. A keyed Poisson sample takes each record with a
-probability proportional to its size (about ``sample`` records whatever the
-table); weighted quantiles of the sampled keys are the boundaries of
-``ranges_per_shard`` ranges per shard. Exact sizes of the ranges are then
+probability proportional to its size (about ``sample`` records, or 25 a range if
+that is more); weighted quantiles of the sampled keys are the boundaries of
+``ranges_per_shard`` ranges per shard, or of more, so that a range holds about
+``range_rows`` of the narrow rows that are numbered in one task. Exact sizes of the ranges are then
 summed, and a range with more than twice the mean is subdivided with a sample
 of its own until none is left that can be split, also inside a hot text,
 whose copies differ in the id's hash.
@@ -13,11 +14,12 @@ A record's place is its range's offset plus a running sum inside the range, so
 shards are consecutive pieces of the total order whose byte counts differ from
 the mean by less than the two records at their ends, on every table and for
 any sample; no text is moved for the assignment. Slots count from 0 in that
-order. The driver sees the samples, the ranges and the shards, all bounded by
-parameters.
+order. The driver sees the samples, the ranges and the shards: a row for some
+``range_rows / 25`` records at most.
 
 Defined cases: a null text has 16 bytes and the checksum of the empty text; a
-null id is an id of its own; repeated rows get neighbouring slots; an empty
+null id is an id of its own; repeated rows get neighbouring slots (rows that agree
+in text and id are one key, which no boundary can split: they are numbered in one task); an empty
 table gives an empty result; there may be fewer records than shards.
 """
 
@@ -34,7 +36,7 @@ from pyspark.sql.window import Window
 from ledgerline.llm.common import fresh, stored
 
 LAW, OVERHEAD = "bytes", 16
-SAMPLE, RANGES_PER_SHARD, SEED = 8000, 8, 5
+SAMPLE, RANGES_PER_SHARD, RANGE_ROWS, SEED = 8000, 8, 1_000_000, 5
 _UNIT = float(1 << 53)
 
 
@@ -82,24 +84,32 @@ def _ranged(rows: DataFrame, splitters: list[tuple[int, int]]) -> DataFrame:
 
 
 def choose_splitters(keys: DataFrame, shards: int, sample: int = SAMPLE, ranges_per_shard: int = RANGES_PER_SHARD,
-                     seed: int = SEED, max_rounds: int = 8) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
-    """(splitters, [(range, bytes, rows)]) over ``keys`` (k, t, size), after overfull ranges are subdivided."""
-    total = keys.agg(F.sum("size")).head()[0] or 0
+                     seed: int = SEED, max_rounds: int = 8, range_rows: int = RANGE_ROWS) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
+    """(splitters, [(range, bytes, rows)]) over ``keys`` (k, t, size), after overfull ranges are subdivided.
+
+    A record weighs its size plus the mean size, so a range of twice the mean weight has at most four times the mean bytes
+    and four times the mean rows.
+    """
+    total, n = keys.agg(F.sum("size"), F.count(F.lit(1))).head()
     if not total:
         return [], []
-    target = total / (shards * ranges_per_shard)
-    drawn = _draw(keys, F.lit(sample / total) * F.col("size"), seed).select("k", "t", "size").collect()
-    splitters = _splitters([(r["k"], r["t"], max(r["size"], total / sample)) for r in drawn], shards * ranges_per_shard)
+    pieces = max(shards * ranges_per_shard, -(-n // range_rows))
+    sample = max(sample, 25 * -(-n // range_rows))
+    mean = -(-total // n)
+    keys, whole = keys.select("k", "t", "size", (F.col("size") + mean).alias("w")), total + n * mean
+    target = whole / pieces
+    drawn = _draw(keys, F.lit(sample / whole) * F.col("w"), seed).select("k", "t", "w").collect()
+    splitters = _splitters([(r["k"], r["t"], max(r["w"], whole / sample)) for r in drawn], pieces)
     for turn in range(max_rounds + 1):
-        ranged = _ranged(keys.select("k", "t", "size"), splitters)
-        sums = {r["r"]: r for r in ranged.groupBy("r").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()}
-        over = {x: s["bytes"] for x, s in sums.items() if s["bytes"] > 2 * target and s["n"] > 1}
+        ranged = _ranged(keys, splitters)
+        sums = {r["r"]: r for r in ranged.groupBy("r").agg(F.sum("size").alias("bytes"), F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")).collect()}
+        over = {x: s["w"] for x, s in sums.items() if s["w"] > 2 * target and s["n"] > 1}
         if not over or turn == max_rounds:
             break
-        weight = F.create_map(*[v for x, b in over.items() for v in (F.lit(x), F.lit(64.0 / target))])[F.col("r")]
-        again = _draw(ranged.where(F.col("r").isin(list(over))), weight * F.col("size"), seed + 1 + turn).select("r", "k", "t", "size").collect()
+        weight = F.lit(64.0 / target) * F.col("w")
+        again = _draw(ranged.where(F.col("r").isin(list(over))), weight, seed + 1 + turn).select("r", "k", "t", "w").collect()
         added = {s for x, b in over.items() for s in _splitters(
-            [(r["k"], r["t"], max(r["size"], target / 64)) for r in again if r["r"] == x], int(np.ceil(b / target)))}
+            [(r["k"], r["t"], max(r["w"], target / 64)) for r in again if r["r"] == x], int(np.ceil(b / target)))}
         grown = sorted(set(splitters) | added)
         if grown == splitters:
             break  # what is left are single keys

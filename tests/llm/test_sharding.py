@@ -66,3 +66,41 @@ def test_written_shards(spark, edge_docs):
     back = spark.read.parquet(path)
     assert set(edge_docs.columns) | {"shard_", "slot_"} == set(back.columns)
     assert sorted(((r["doc_id"], r["text"]) for r in back.collect()), key=repr) == sorted(((r["doc_id"], r["text"]) for r in edge_docs.collect()), key=repr)
+
+
+def slow_assign(rows, shards):
+    """Everything sorted in one list and cut by running byte counts; hashes by another library."""
+    import xxhash
+
+    def signed(h):
+        return h - (1 << 64) if h >> 63 else h
+
+    def key(d, t):
+        text = (t or "").encode()
+        own = 42 if d is None else signed(xxhash.xxh64_intdigest(int(d).to_bytes(8, "little", signed=True), 42))
+        return signed(xxhash.xxh64_intdigest(text, 42)), own, d is not None, d or 0
+
+    order = sorted(rows, key=lambda r: key(*r))
+    size = [len((t or "").encode()) + 16 for _, t in order]
+    total, upto, out, first = sum(size), 0, [], {}
+    for place, ((d, _), n) in enumerate(zip(order, size)):
+        upto += n
+        shard = min((2 * upto - n) * shards // (2 * total), shards - 1)
+        out.append((d, n, shard, place - first.setdefault(shard, place)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("options", [{}, {"sample": 5}, {"range_rows": 20}, {"ranges_per_shard": 1}])
+def test_equals_a_sort_and_cut_on_the_driver(spark, edge_docs, options):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    for frame, shards in ((docs, 40), (docs.where("doc_id < 20"), 40), (edge_docs.select("doc_id", "text"), 7)):
+        got = S.assign(frame, shards, **options)
+        assert sorted(((r["doc_id"], r["size"], r["shard"], r["slot"]) for r in got.collect()), key=repr) == slow_assign([tuple(r) for r in frame.collect()], shards)
+
+
+def test_ranges_follow_the_rows_and_tiny_texts_are_spread(spark):
+    """A third of the rows is empty and as good as weightless in bytes; no range holds many of them."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("")).otherwise(F.repeat(F.lit("x"), 900)).alias("text"))
+    keys = docs.select(F.xxhash64("text").alias("k"), F.xxhash64("doc_id").alias("t"), (F.octet_length("text") + 16).cast("long").alias("size"))
+    splitters, ranges = S.choose_splitters(keys, 4, range_rows=100)
+    assert len(ranges) >= 60 and max(n for _, _, n in ranges) <= 4 * 100 + 1 and sum(n for _, _, n in ranges) == 6000
