@@ -298,41 +298,58 @@ class _Flow:
 
 
 class _Table:
-    __slots__ = ("rows", "held", "caption")
+    """Cells by column. A span is one entry however many rows and columns it covers."""
+
+    __slots__ = ("rows", "held", "caption", "at", "next")
 
     def __init__(self):
-        self.rows, self.held, self.caption = [], {}, []
+        self.rows, self.caption = [], []  # a row is a list of (column, lines)
+        self.held = []  # columns taken by cells of rows above: [begin, end, first row that is free again], by begin
+        self.at = self.next = 0  # the next column of the current row, and the next entry of ``held`` from there on
+
+    def start_row(self) -> None:
+        n = len(self.rows)
+        self.rows.append([])
+        merged: list[list[int]] = []
+        for begin, end, until in self.held:
+            if until <= n:
+                continue
+            if merged and merged[-1][1] == begin and merged[-1][2] == until:
+                merged[-1][1] = end
+            else:
+                merged.append([begin, end, until])
+        self.held, self.at, self.next = merged, 0, 0
 
     def cell(self, lines: list[str], across: int, down: int) -> None:
-        row = self.rows[-1]
-        self._skip(row)
-        at = len(row)
-        for k in range(across):
-            row.append(lines if k == 0 else [])
-            if down > 1:
-                self.held[at + k] = down - 1
-
-    def _skip(self, row: list) -> None:
-        while self.held.get(len(row), 0) > 0:
-            self.held[len(row)] -= 1
-            row.append([])
-
-    def end_row(self) -> None:
-        row = self.rows[-1]
-        self._skip(row)
-        for c in [c for c, n in self.held.items() if n > 0 and c >= len(row)]:
-            self.held[c] -= 1
+        held = self.held
+        while self.next < len(held) and held[self.next][0] <= self.at:
+            self.at = max(self.at, held[self.next][1])
+            self.next += 1
+        if lines:
+            self.rows[-1].append((self.at, lines))
+        if down > 1:
+            held.insert(self.next, [self.at, self.at + across, len(self.rows) - 1 + down])
+            self.next += 1
+        self.at += across
 
     def lines(self) -> list[str]:
         width: dict[int, int] = {}
         for row in self.rows:
-            for c, lines in enumerate(row):
+            for c, lines in row:
                 width[c] = max(width.get(c, 0), max((len(x) if len(x) <= WIDE else 1 for x in lines if x), default=0))
+        place, at = {}, 0  # where each column with text begins
+        for c in sorted(c for c in width if width[c]):
+            place[c] = at
+            at += width[c] + 2
         out = list(self.caption)
-        used = [c for c in sorted(width) if width[c]]
         for row in self.rows:
-            for k in range(max((len(x) for x in row), default=0)):
-                out.append("  ".join((row[c][k] if c < len(row) and k < len(row[c]) else "").ljust(width[c]) for c in used).rstrip())
+            for k in range(max((len(x) for _, x in row), default=0)):
+                line, end = [], 0  # ``end``: where the columns so far end, as if none were wider than its width
+                for c, lines in row:
+                    if k < len(lines) and lines[k]:
+                        line.append(" " * (place[c] - end) + lines[k].ljust(width[c]))
+                        end = place[c] + width[c]
+                out.append("".join(line).rstrip())
         return out
 
 
@@ -409,8 +426,7 @@ def render(root: Node) -> str:
             flow.block(1)
             stack.append(lambda f=flow, t=inner_table: (f.put(t.lines()), f.block(1)))
         elif tag == "tr" and table is not None:
-            table.rows.append([])
-            stack.append(table.end_row)
+            table.start_row()
         elif tag in ("td", "th") and table is not None and table.rows:
             inner_flow, across, down = _Flow(), _number(item.attrs.get("colspan"), 1), _number(item.attrs.get("rowspan"), 1, 65534)
             stack.append(lambda t=table, i=inner_flow, a=across, d=down: t.cell(i.done(), a, d))
