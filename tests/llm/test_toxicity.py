@@ -98,3 +98,50 @@ def test_rare_families_of_every_language_are_learned(spark, per_class):
         held = [(got[i], bool(y)) for i, _, x, y in rows if x == lang and not kept(i)]
         assert sum(y for _, y in held) >= 3 and all(a for a, y in held if y)
         assert sum(a == y for a, y in held) >= 0.98 * len(held)
+
+
+def test_a_family_of_half_a_percent_is_learned_and_evidence_is_bounded(spark, monkeypatch):
+    """10,000 toxic training rows, 50 of them with another slur in another script; held-out ones are found."""
+    rng = np.random.default_rng(6)
+    kept = lambda i: zlib.crc32(str(i).encode()) % 5 != 0
+    words = {"en": ["".join(rng.choice(list("aeioubcdfg"), 6)) for _ in range(500)], "ru": ["".join(rng.choice(list("абвгдежзик"), 6)) for _ in range(500)]}
+    n = 25_000
+    toxic = [i for i in range(n) if i % 2]
+    rare = set([i for i in toxic if kept(i)][:50] + [i for i in toxic if not kept(i)][:12])
+    rows = []
+    for i in range(n):
+        lang = "ru" if i in rare or (i % 2 == 0 and i % 10 == 0) else "en"
+        body = rng.choice(words[lang], 30).tolist()
+        if i % 2:
+            body[5] = body[20] = "щщумратый" if lang == "ru" else "zzworgling"
+        rows.append((i, " ".join(body), i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8)
+    assert sum(1 for i in toxic if kept(i)) >= 9_900
+    model = T.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    probe = [i for i in range(n) if not kept(i) and (i in rare or i % 50 in (0, 1))]
+    got = {r["doc_id"]: r["score"] >= 0.5 for r in T.tag(docs.where(docs.doc_id.isin(probe)), model, ["doc_id"]).collect()}
+    assert all(got[i] for i in probe if i in rare)
+    assert sum(got[i] == bool(i % 2) for i in probe) >= 0.98 * len(probe)
+    # the evidence comes from a bounded number of rows a class, whatever the table
+    seen = []
+    monkeypatch.setattr(T, "distinct_words", lambda df, real=T.distinct_words: seen.append({r["toxic"]: r["count"] for r in df.groupBy("toxic").count().collect()}) or real(df))
+    T.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"), per_class=200, evidence_rows=1000)
+    assert all(900 < c < 1100 for c in seen[0].values()) and set(seen[0]) == {0, 1}
+
+
+def test_counts_of_words_and_beginnings_equal_a_loop(spark):
+    """Documents that hold each feature, by class, near copies once, against dictionaries."""
+    texts = [("ab cd ab", 1, 10), ("cd abcdef", 0, 5), ("ab cd ab", 1, 7), ("xyz", 1, 3), ("12 34", 1, 1), ("É é", 0, 2)]
+    rows = spark.createDataFrame([(t, y, h) for t, y, h in texts], "text string, toxic int, h long")
+    got = {r["feature"]: (r["n1"], r["n0"], r["h"]) for r in T.document_counts(T.distinct_words(rows)).collect()}
+    once = [("ab cd ab", 1, 7), ("cd abcdef", 0, 5), ("xyz", 1, 3), ("É é", 0, 2)]  # of copies the smallest h; no letters, no row
+    want = {}
+    for t, y, h in once:
+        found = {0}
+        for w in set(T.TOKEN.findall(t)):
+            f = T.features(w)[:T.SLOTS]
+            found |= {f[0], *f[2:]}
+        for f in found:
+            a, b, low = want.get(f, (0, 0, np.iinfo(np.int64).max))
+            want[f] = (a + y, b + 1 - y, min(low, h) if y else low)
+    assert got == want
