@@ -1,13 +1,15 @@
 """Chat formatting over reply trees.
 
 Messages form trees (node, parent). Root-to-leaf paths are enumerated by
-iterative self-joins with doubling: after round k every leaf is joined to its
-ancestors at distances below 2^k, and a jump table (node to its ancestor at
-distance 2^k) is joined to itself, so a path of length n takes log2(n) rounds
-and its rows add up to the path's length; no path is carried as a growing
-array. A leaf's score is the mean of its path's message scores; the best
-``per_tree`` leaves of a tree are kept (ties: longer path, then smaller leaf)
-and each chosen path is formatted as one conversation.
+iterative self-joins with doubling: after round k every node is joined to its
+ancestor at distance 2^k and carries the sum of the scores up to there, so the
+longest chain of n messages takes log2(n) rounds of one row a node. A leaf's score is the
+mean of its path's message scores; the best ``per_tree`` leaves of a tree are
+kept (ties: longer path, then smaller leaf). Only their paths are listed, from
+the same tables (a leaf, its ancestor at distance 1, those of both at distance
+2, ...): rows add up to the lengths of the chosen paths, whatever the number of
+branches, and no path is carried as a growing array. Each chosen path is formatted as one
+conversation.
 
 Template: a turn is ``[INST] text [/INST]`` for user, ``text</s>`` behind
 ``[OUT] `` for assistant, and ``[TURN role] text [/TURN]`` for every other
@@ -22,7 +24,8 @@ conversation meet in one task when it is formatted.
 
 Defined cases: a null text or role is empty; rows that repeat a turn follow
 each other by role and text; a message whose parent is missing is a root; a
-cycle has no leaf or root and raises an error; an empty table gives an empty
+cycle, with or without replies to it, raises an error after log2 of the largest
+tree's messages, plus one, rounds; an empty table gives an empty
 result; other columns are never read.
 """
 
@@ -97,41 +100,60 @@ def linear_nodes(conversations: DataFrame) -> DataFrame:
                        "role", "text", F.lit(0.0).alias("score"))
 
 
-def paths(nodes: DataFrame) -> DataFrame:
-    """(tree, leaf, node, up): every node of every root-to-leaf path; ``up`` is its distance from the leaf.
+def _climb(nodes: DataFrame) -> list[DataFrame]:
+    """Tables (g, node, to, total, n): round k has each node's ancestor at distance 2^k, null above the root, and the sum
+    of scores and number of messages from the node to below that ancestor; the last one is the whole way to the root.
 
-    ``nodes`` needs tree, node and parent; node is unique inside its tree. Null trees are one tree.
+    ``g`` is the tree as text, so that a null tree joins itself.
     """
-    key = nodes.select(F.struct("tree").alias("tree"), "node", "parent")  # a struct, so that a null tree joins itself
-    link = key.select(F.to_json("tree").alias("g"), "node", "parent")
-    known = link.select("g", F.col("node").alias("parent"))
-    jump = stored(link.join(known, ["g", "parent"]).select("g", "node", F.col("parent").alias("to")), "jump")
-    inner = jump.select("g", F.col("to").alias("node")).distinct()
-    leaves = link.join(inner, ["g", "node"], "left_anti")
-    found = stored(leaves.select("g", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "paths")
-    step = 1
-    for _ in range(_MAX_ROUNDS):
-        if not jump.head(1):
-            break
-        more = found.join(jump, ["g", "node"]).select("g", "leaf", F.col("to").alias("node"), (F.col("up") + step).alias("up"))
+    link = nodes.select(F.to_json(F.struct("tree")).alias("g"), "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("total"), F.lit(1).cast("long").alias("n"))
+    largest = link.groupBy("g").count().agg(F.max("count")).head()[0] or 0
+    known = link.select("g", F.col("node").alias("parent"), F.lit(True).alias("there"))
+    met = link.join(known, ["g", "parent"], "left").select("g", "node", F.when(F.col("there"), F.col("parent")).alias("to"), "total", "n")
+    tables = [stored(met, "jump")]
+    for _ in range(min(_MAX_ROUNDS, max(1, largest).bit_length() + 1)):
+        last = tables[-1]
+        under = last.where("to is not null")
+        if not under.head(1):
+            return tables
+        onward = last.select("g", F.col("node").alias("to"), F.col("to").alias("next"), F.col("total").alias("more"), F.col("n").alias("further"))
+        moved = under.join(onward, ["g", "to"]).select("g", "node", F.col("next").alias("to"), (F.col("total") + F.col("more")).alias("total"), (F.col("n") + F.col("further")).alias("n"))
+        tables.append(stored(last.where("to is null").unionByName(moved), "jump"))
+    raise ValueError("a reply chain is a cycle")
+
+
+def _leaves(tables: list[DataFrame]) -> DataFrame:
+    """(g, node, total, n) of the nodes without replies, over their whole paths."""
+    return tables[-1].join(tables[0].select("g", F.col("to").alias("node")), ["g", "node"], "left_anti").select("g", "node", "total", "n")
+
+
+def _listed(tables: list[DataFrame], leaves: DataFrame) -> DataFrame:
+    """(g, leaf, node, up) of the paths of ``leaves`` (g, leaf)."""
+    found = leaves.select("g", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up"))
+    for k, table in enumerate(tables[:-1]):
+        jump = table.where("to is not null").select("g", "node", "to")
+        more = found.join(jump, ["g", "node"]).select("g", "leaf", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up"))
         found = stored(found.unionByName(more), "paths")
-        onward = jump.select("g", F.col("node").alias("to"), F.col("to").alias("next"))
-        jump = stored(jump.join(onward, ["g", "to"]).select("g", "node", F.col("next").alias("to")), "jump")
-        step *= 2
-    else:
-        raise ValueError("a reply chain is a cycle")
     return found
 
 
+def paths(nodes: DataFrame) -> DataFrame:
+    """(g, leaf, node, up): every node of every root-to-leaf path; ``up`` is its distance from the leaf.
+
+    ``nodes`` needs tree, node, parent and score; node is unique inside its tree. Null trees are one tree.
+    """
+    tables = _climb(nodes)
+    return _listed(tables, _leaves(tables).select("g", F.col("node").alias("leaf")))
+
+
 def best_paths(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
-    """(g, leaf, place, role, text, rank, score): the turns of the best paths of every tree, place counted from the leaf."""
-    body = nodes.select(F.to_json(F.struct("tree")).alias("g"), "tree", "node", "role", "text", "score")
-    found = paths(nodes)
-    scored = found.join(body.select("g", "node", "score"), ["g", "node"])
-    leaves = scored.groupBy("g", "leaf").agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("mean"), F.count(F.lit(1)).alias("n"))
+    """(tree, g, leaf, rank, score, up, role, text): the turns of the best paths of every tree, place counted from the leaf."""
+    body = nodes.select(F.to_json(F.struct("tree")).alias("g"), "tree", "node", "role", "text")
+    tables = _climb(nodes)
     rank = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("mean"), F.desc("n"), "leaf"))
-    chosen = leaves.withColumn("rank", rank).where(F.col("rank") <= per_tree).select("g", "leaf", "rank", "mean")
-    return found.join(chosen, ["g", "leaf"]).join(body.drop("score"), ["g", "node"]) \
+    leaves = _leaves(tables).select("g", F.col("node").alias("leaf"), (F.col("total") / F.col("n")).alias("mean"), "n")
+    chosen = stored(leaves.withColumn("rank", rank).where(F.col("rank") <= per_tree).select("g", "leaf", "rank", "mean"), "chosen")
+    return _listed(tables, chosen).join(chosen, ["g", "leaf"]).join(body, ["g", "node"]) \
         .select("tree", "g", "leaf", "rank", F.col("mean").alias("score"), "up", "role", "text")
 
 

@@ -82,3 +82,28 @@ def test_missing_parents_are_roots_and_cycles_raise(spark, monkeypatch):
     monkeypatch.setattr(C, "_MAX_ROUNDS", 4)
     with pytest.raises(ValueError):
         C.paths(spark.createDataFrame([(1, 1, 2, "u", "a", 0.0), (1, 2, 1, "u", "b", 0.0)], schema))
+
+
+def nodes_of(spark, rows):
+    return spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
+
+
+def test_replies_to_a_cycle_raise_after_few_rounds(spark, monkeypatch):
+    """A long chain of replies that hangs off a cycle: rows do not double, and the error comes in log2 of the tree's size."""
+    kept = []
+    monkeypatch.setattr(C, "stored", lambda df, label, stored=C.stored: kept.append(stored(df, label)) or kept[-1])
+    rows = [(1, 1, 2, "u", "a", 0.0), (1, 2, 1, "u", "b", 0.0)] + [(1, n, n - 1, "u", "c", 0.0) for n in range(3, 31)]
+    with pytest.raises(ValueError, match="cycle"):
+        C.format_paths(nodes_of(spark, rows))
+    assert len(kept) <= 7 and all(t.count() <= len(rows) for t in kept)
+
+
+def test_a_long_thread_with_replies_lists_only_chosen_paths(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(C, "stored", lambda df, label, stored=C.stored: kept.setdefault(label, []).append(stored(df, label)) or kept[label][-1])
+    n = 10_000
+    rows = [(1, i, i - 1 if i else None, "user", f"t{i}", 1.0) for i in range(n)]
+    rows += [(1, n + i, i, "assistant", "reply", 0.0) for i in range(n - 1)]  # a reply at each step
+    out = C.format_paths(nodes_of(spark, rows)).collect()
+    assert [len(C.parse_turns(r["formatted"])) for r in out] == [n] and out[0]["score"] == 1.0
+    assert all(t.count() <= 2 * n for ts in kept.values() for t in ts)  # not the 50 million rows of all paths
