@@ -7,20 +7,21 @@ are put into one automaton as " w1 w2 ... "; a document is normalised to the
 same form, scanned once, and every occurrence (overlapping ones too) marks its
 words. Marked words are mapped back to character offsets of the original text.
 
-The automaton is shared with every task, so its size is checked: an item table
-whose windows exceed ``max_automaton_chars`` is cut by hash into parts that
-each stay below it; the documents are then scanned once per part and the
+The automaton is shared with every task, so its size is checked: it takes up to
+some 40 bytes of a worker's memory for each byte of windows, so the bound of five million bytes
+is some 200 MB. An item table whose windows exceed ``max_automaton_chars`` is cut
+by hash into parts that each stay below it; the documents are then scanned once per part and the
 marked words united, so the result does not depend on the limit.
 
 Defined cases: a null text has no words and no hits; an item that is null or
 without words has no window; equal windows of several items count for each of
-them; repeated rows give repeated results; empty tables give no hits; other
+them; items with a null id are one item: its windows mark words and it counts among
+the items, but an id list leaves it out; repeated rows give repeated results; empty tables give no hits; other
 columns are ignored or kept, never read.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import fresh, pieces_of, scratch_path, stored
 
+MAX_AUTOMATON_CHARS = 5_000_000  # bytes of windows and ids in one automaton
 # fixed values: what is not a word character among the ASCII characters (after lower-casing)
 WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
 _NOT_WORD = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
@@ -63,10 +65,10 @@ def item_windows(items: DataFrame, window: int = 10, id_col: str = "item_id", te
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(wins, pa.binary())], ["item_id", "win"])
 
     rows = items.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.where("item_id is not null").mapInArrow(run, "item_id string, win binary").distinct()
+    return rows.mapInArrow(run, "item_id string, win binary").distinct()
 
 
-def build_automaton(pairs: list[tuple[str, bytes]]) -> ahocorasick.Automaton:
+def build_automaton(pairs: list[tuple[str | None, bytes]]) -> ahocorasick.Automaton:
     """Automaton over " win " (as Latin-1, one character per byte); a value is (length, words, item ids)."""
     ids = defaultdict(list)
     for item, win in pairs:
@@ -121,7 +123,7 @@ _RANGE = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 _SPAN = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
 
-def _scan_part(docs: DataFrame, pairs: list[tuple[str, bytes]], keep: list[str], text_col: str) -> DataFrame:
+def _scan_part(docs: DataFrame, pairs: list[tuple[str | None, bytes]], keep: list[str], text_col: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +139,7 @@ def _scan_part(docs: DataFrame, pairs: list[tuple[str, bytes]], keep: list[str],
                     n.append(len(words))
                     hits.append([{"first": x, "last": y} for x, y in ranges])
                     spans.append([{"begin": x, "end": y} for x, y in original_spans(t, ranges)] if ranges else [])
-                    items.append(sorted(owners))
+                    items.append(sorted(owners, key=lambda x: (x is None, x)))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[1:], pa.array(n, pa.int64()), pa.array(hits, _RANGE), pa.array(spans, _SPAN), pa.array(items, pa.list_(pa.string()))],
                     [*keep, "n_words", "hits", "spans", "items"])
@@ -147,11 +149,11 @@ def _scan_part(docs: DataFrame, pairs: list[tuple[str, bytes]], keep: list[str],
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, keep: list[str] | None = None, text_col: str = "text",
-                  max_automaton_chars: int = 50_000_000) -> DataFrame:
+                  max_automaton_chars: int = MAX_AUTOMATON_CHARS) -> DataFrame:
     """The ``keep`` columns (doc_id) of ``docs`` plus n_words, hits (merged word ranges), spans (character offsets) and items."""
     keep = ["doc_id"] if keep is None else keep
     wins = stored(item_windows(items, window), "windows")
-    chars = wins.agg(F.sum(F.octet_length("win") + F.octet_length("item_id"))).head()[0] or 0
+    chars = wins.agg(F.sum(F.octet_length("win") + F.coalesce(F.octet_length("item_id"), F.lit(0)))).head()[0] or 0
     if chars <= max_automaton_chars:
         # the checked bound: at most max_automaton_chars bytes of windows and ids reach the driver
         return _scan_part(docs, [tuple(r) for r in wins.collect()], keep, text_col)
@@ -189,10 +191,6 @@ def _merged(name: str, first: str, last: str):
     return F.reduce(ranges, F.array().cast(kind), add).alias(name)
 
 
-def sha256_of_items(items) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-
-
 def digest(marked: DataFrame) -> DataFrame:
     """The contract columns from the operator's output."""
     hit = F.aggregate("hits", F.lit(0).cast("long"), lambda s, x: s + x["last"] - x["first"])

@@ -17,8 +17,8 @@ def brute(docs, items):
     windows = []
     for i, t in items:
         w = words(t)
-        if w and i is not None:
-            windows += [(str(i), tuple(w[k:k + 10])) for k in range(max(1, len(w) - 9))]
+        if w:  # all items without an id are one
+            windows += [(None if i is None else str(i), tuple(w[k:k + 10])) for k in range(max(1, len(w) - 9))]
     sizes, owners = {len(win) for _, win in windows}, {}
     for i, win in windows:
         owners.setdefault(win, set()).add(i)
@@ -29,7 +29,7 @@ def brute(docs, items):
                 if tuple(w[k:k + n]) in owners:
                     hit.update(range(k, k + n))
                     found |= owners[tuple(w[k:k + n])]
-        yield d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
+        yield d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found - {None})).encode()).hexdigest(), bool(hit)
 
 
 @pytest.mark.parametrize("limit", [50_000_000, 3000])
@@ -59,3 +59,42 @@ def test_spans_point_into_the_original(spark):
     row = D.contamination(spark.createDataFrame([(1, text)], "doc_id long, text string"), items).head()
     assert [(s["begin"], s["end"]) for s in row["spans"]] == [(text.index("ONE"), text.index(", done"))]
     assert [(h["first"], h["last"]) for h in row["hits"]] == [(1, 12)]
+
+
+def test_items_without_an_id_mark_words_as_the_statement_says(spark, tmp_path):
+    import duckdb
+    from ledgerline.llm.oracle import ORACLE
+    from ledgerline.llm.queries import QUERIES
+    from test_oracle import _arrow, _rows
+
+    docs = spark.createDataFrame([(1, "x one two three y"), (2, "one two"), (3, "four"), (4, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "one two three"), (None, "four"), (7, "one"), (None, None)], "item_id long, text string")
+    con = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", items)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    got = QUERIES["op7_decontamination"](spark, str(tmp_path))
+    assert {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in got.collect()} == {1: (3, 2, True), 2: (1, 1, True), 3: (1, 1, True), 4: (0, 0, False)}
+    assert _rows(got.toArrow()) == _rows(_arrow(con.sql(ORACLE["op7_decontamination"])))
+
+
+def test_memory_at_the_bound():
+    """An automaton at the documented bound, in a process of its own."""
+    import subprocess
+    import sys
+
+    code = """
+import random, resource
+from ledgerline.llm import decontam as D
+rng, pairs, size = random.Random(1), [], 0
+while size < D.MAX_AUTOMATON_CHARS:
+    text = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(40))
+    for w in D.windows_of(text):
+        pairs.append((str(len(pairs)), w))
+        size += len(w) + len(pairs[-1][0])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+D.build_automaton(pairs)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, check=True)
+    assert int(done.stdout) < 400  # MB
