@@ -251,7 +251,8 @@ def nearest(vectors: DataFrame, is_query: Column | str, k: int = TOP, factor: fl
     def visit(low: int, high: int, asked: DataFrame) -> DataFrame:
         spread = asked.withColumns({"shard": F.explode(F.sequence(F.lit(low), F.lit(high - 1))), "part": F.lit(1)})
         rows = candidates.where((F.col("shard") >= low) & (F.col("shard") < high)).unionByName(spread)
-        placed = rows.repartition(high - low, "width", "shard").sortWithinPartitions("width", "shard", "part")
+        # a task for every shard (a hash of the shard would put several into one)
+        placed = rows.repartitionById(high - low, (F.col("shard") - low).cast("int")).sortWithinPartitions("width", "shard", "part")
         return stored(_search_shards(placed, k, factor, leaf), "found")
 
     found = visit(0, first, queries.withColumn("floor", none))
