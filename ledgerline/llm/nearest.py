@@ -22,8 +22,8 @@ first; their k-th scores there are lower bounds that the other shards start
 with, so that these return few rows each. Memory is one shard and one Arrow batch of
 queries a task; nothing is broadcast or collected.
 
-Scores are sums of products in double precision, in the same order for every
-pair, so equal vectors score equally; candidates are compared with a margin
+Scores are sums of products in double precision, added component after component,
+so equal vectors score equally and any engine gets the same; candidates are compared with a margin
 above the rounding of the matrix products that find them. Ties go to smaller
 ids.
 
@@ -168,7 +168,7 @@ class Search:
         row, point = np.nonzero(s >= (bar - self.slack[who])[:, None])
         if not len(row):
             return
-        exact = (self.q[who[row]] * tree.x[a + point]).sum(axis=1)
+        exact = np.cumsum(self.q[who[row]] * tree.x[a + point], axis=1)[:, -1]  # component after component
         n = np.diff(tree.id_start)[a + point]
         at = np.arange(n.sum()) + np.repeat(tree.id_start[a + point] - (np.cumsum(n) - n), n)
         row, ids, exact = np.repeat(who[row], n), tree.ids[at], np.repeat(exact, n)

@@ -2,8 +2,7 @@
 
 The others have no statement: op2 (a trained random field), op4 (trained language
 models), op5 (an agenda with keyed drop-out), op6 (XXH64), op8 (an order by XXH64),
-op9 (a tree builder), op11 (lags up to a quarter of each text), op13
-(approximate) and the pipeline that holds op2 and op5; tests hold them
+op9 (a tree builder) and the pipeline that holds op2 and op5; tests hold them
 against brute-force versions, round trips and held-out rows.
 """
 
@@ -116,5 +115,47 @@ r AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM r JOIN b ON r.item = b.item WHERE rank <= 20
 """
 
+# crc32 of an id in decimal: eight shifts for each character
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(s) + 1),
+    lambda k: CAST(ascii(substr(s, CAST(k AS INTEGER), 1)) AS BIGINT))), lambda c, b: list_reduce(
+    list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda e, z: xor(e >> 1, 3988292384 * (e & 1)))))"""
+# A run of period q holds at least 3 q - 2 equal three-word grams at distance q, next to each other: lags come from equal grams,
+# runs are islands of such pairs, and a run inside one whose period divides its own is not of smallest period.
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, CAST(doc_id AS VARCHAR) AS s,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACES}+'), lambda x: x <> '') AS ws FROM documents),
+e AS (SELECT rid, doc_id, ws, len(ws) AS n, CASE WHEN s IS NOT NULL THEN {_CRC} END AS h FROM d),
+f AS (SELECT *, (h // 10) % greatest(n, 1) AS a, 3 + (h // 10) % 8 AS parts FROM e),
+w AS (SELECT rid, doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN
+    list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END + 1]) ELSE ws END AS ws FROM f),
+word AS (SELECT rid, unnest(range(len(ws))) AS i, unnest(ws) AS x FROM w),
+gram AS (SELECT rid, i, ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] AS g FROM (SELECT rid, ws, unnest(range(len(ws) - 2)) AS i FROM w WHERE len(ws) > 5)),
+pair AS (SELECT a.rid, a.i, b.i - a.i AS q FROM gram a JOIN gram b ON a.rid = b.rid AND a.g = b.g AND a.i < b.i),
+lag_ AS (SELECT rid, q FROM pair GROUP BY rid, q HAVING count(*) >= greatest(3 * q, 6 - q) - 2),
+island AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS k FROM pair JOIN lag_ USING (rid, q)),
+stretch AS (SELECT rid, min(i) AS start, count(*) + 2 + q AS length, q AS period FROM island GROUP BY rid, q, k HAVING count(*) + 2 + q >= greatest(6, 4 * q)),
+run AS (SELECT * FROM stretch r WHERE NOT EXISTS (SELECT 1 FROM stretch s WHERE s.rid = r.rid AND s.period < r.period AND r.period % s.period = 0
+    AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
+best AS (SELECT rid, start, length, period FROM run QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length DESC, start, period) = 1),
+runs AS (SELECT rid, count(*) AS n, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM run GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT rid, string_agg(x, ' ' ORDER BY i) AS collapsed FROM word ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(runs.n, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+    CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+    sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM w LEFT JOIN best USING (rid) LEFT JOIN runs USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+# The exact search; on the given tables the production factor finds all of it (and the tests hold its recall against a bound).
+OP13 = """
+WITH v AS (SELECT vec_id AS id, min(CAST(embedding AS DOUBLE[])) AS x FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND len(list_filter(embedding, lambda y: y <> 0)) > 0 GROUP BY vec_id),
+s AS (SELECT q.id AS query_id, v.id AS vec_id, list_reduce(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * v.x[i]), lambda a, b: a + b) AS score
+    FROM v q JOIN v ON q.id % 20 = 0 AND q.id <> v.id AND len(q.x) = len(v.x))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
 ORACLE: dict[str, str] = {"op1_warc": OP1, "op3_quality_rules": _op3(), "op7_decontamination": OP7, "op10_chat_formatting": OP10,
-                           "op12_lexical_search": OP12}
+                           "op11_periodic_runs": OP11, "op12_lexical_search": OP12,
+                           "op13_nearest_neighbours": OP13}

@@ -40,10 +40,11 @@ def test_contract_columns(spark, name):
     assert {c: kinds[c] for c in COLUMNS[name]} == COLUMNS[name]
 
 
-@pytest.mark.parametrize("name", ["op1_warc", "op3_quality_rules", "op7_decontamination", "op10_chat_formatting", "op12_lexical_search"])
+@pytest.mark.parametrize("name", ["op1_warc", "op3_quality_rules", "op7_decontamination", "op10_chat_formatting", "op11_periodic_runs",
+                                  "op12_lexical_search", "op13_nearest_neighbours"])
 def test_matches_the_statement(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "conversations"):
+    for t in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     assert _rows(QUERIES[name](spark, SMALL).toArrow()) == _rows(_arrow(con.sql(entry.oracle_sql()[name])))
 
