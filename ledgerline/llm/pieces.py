@@ -5,10 +5,10 @@ is a parameter; nothing is trained. A space is written as the mark U+2581, one
 mark is put before the text, and the characters of a chunk are merged through
 an agenda: the candidate with the best score is taken first, leftmost on ties.
 A candidate that is taken from the agenda is skipped when the keyed hash of
-(seed, variant, chunk, position, piece) falls below ``dropout``; a pair that
-forms again later is a new candidate. A document's variant is the keyed hash of
-its id, or of its text where the id is null, modulo ``variants``, so different
-documents split the same word differently, while every run gives the same
+(seed, document, place of the chunk in the text, piece, place in the chunk) falls
+below ``dropout``; a pair that forms again later is a new candidate. A document's key
+is the hash of its id, or of its text where the id is null, so every occurrence of a
+word in every document is split on its own, while every run gives the same
 pieces. Characters outside the vocabulary become byte pieces.
 
 Decoding joins the pieces' bytes and is lossless for every text: marks become
@@ -17,9 +17,11 @@ written as byte pieces, so that it does not turn into a space.
 
 No vocabulary piece has a mark after another character (checked at loading),
 so merges never cross the beginning of a run of spaces and a text is encoded
-chunk by chunk. The new chunks of a batch of documents are merged together,
-one candidate of every chunk per round; chunks are remembered per worker, up
-to a fixed number. With
+chunk by chunk. A worker remembers, for each chunk, the candidates that come up when
+none is skipped, and the pieces that result. For every occurrence the hashes of these candidates are
+computed; if all are above the limit the remembered pieces are its pieces, otherwise the
+occurrence is merged by its own key, together with all such occurrences of the
+batch, one candidate of each per round. The memory is a cache of a fixed size; it changes no result. With
 ``dropout`` = 0 the pieces equal those of the sentencepiece library for texts
 without U+2581.
 
@@ -32,7 +34,6 @@ from __future__ import annotations
 
 import heapq
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,10 +47,10 @@ from ledgerline.llm.common import pieces_of
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-DROPOUT, SEED, VARIANTS = 0.1, 2024, 4
+DROPOUT, SEED = 0.1, 2024
 MAX_PIECES = 1_000_000  # the vocabulary is shared with every task, so its size is checked
 _SHORT, _NONE = 60, 1 << 30  # longest chunk that is merged with others (its places fit 6 bits); no candidate
-_REMEMBERED = 250_000  # chunks per variant and worker
+_REMEMBERED = 500_000  # chunks per worker
 
 
 @dataclass(frozen=True)
@@ -139,7 +140,7 @@ def merge(chunk: str, rank: dict[str, int], limit: int, key: int) -> list[str]:
 
 
 class _Pairs:
-    """Sorted table of the symbol pairs that make a piece, for merging many chunks at once."""
+    """Hash table of the symbol pairs that make a piece, for merging many chunks at once."""
 
     def __init__(self, v: Vocabulary):
         names = dict(v.ids)
@@ -157,26 +158,52 @@ class _Pairs:
         for c, i in names.items():
             if len(c) == 1:
                 self.symbol[ord(c)] = i
+        self.symbol[ord(" ")] = self.symbol[ord(MARK)]  # a space is written as the mark; a mark of the text is a chunk of its own
+        self.bits = max(8, 4 + len(self.keys).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int32)  # open addressing, mostly empty
+        left, slot = np.arange(len(self.keys)), self._slot(self.keys)
+        while len(left):
+            first = np.unique(slot, return_index=True)[1]
+            first = first[self.slots[slot[first]] < 0]
+            self.slots[slot[first]] = left[first]
+            rest = np.ones(len(left), bool)
+            rest[first] = False
+            left, slot = left[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, pair: np.ndarray) -> np.ndarray:
+        return ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         pair = left * self.width + right
-        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-        return np.where(self.keys[at] == pair, self.ranks[at], _NONE)
+        slot = self._slot(pair)
+        at = self.slots[slot]
+        hit = (at >= 0) & (self.keys[at] == pair)
+        out = np.where(hit, self.ranks[at], _NONE)
+        left = np.flatnonzero((at >= 0) & ~hit)
+        while len(left):  # the slot holds another pair: look at the next one
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+            at = self.slots[slot[left]]
+            hit = (at >= 0) & (self.keys[at] == pair[left])
+            out[left[hit]] = self.ranks[at[hit]]
+            left = left[(at >= 0) & ~hit]
+        return out
 
 
-def merge_many(chunks: list[str], keys: list[int], pairs: _Pairs, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def merge_many(chunks: list[str], pairs: _Pairs, limit: int = 0, keys: np.ndarray | None = None):
     """(symbols, ends) of many short chunks: each round takes the best candidate of every chunk from its agenda.
 
-    The same pieces as ``merge`` gives chunk by chunk. Symbols that are not vocabulary ids stand for unknown characters.
+    With ``keys`` a candidate is skipped when its keyed hash is below ``limit``: the same pieces as ``merge`` gives
+    chunk by chunk. Without, none is skipped, and the (ranks, places, ends) of all candidates that came up are
+    returned too. Symbols that are not vocabulary ids stand for unknown characters.
     """
-    lengths = np.array([len(c) for c in chunks], np.int64)
+    lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
     sym = pairs.symbol[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
     own = np.repeat(np.arange(len(chunks)), lengths)
     place = np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    key = np.array(keys, np.uint64)
     agenda = np.full(len(sym), _NONE, np.int64)  # of the pair that begins at a symbol
     agenda[:-1] = np.where(own[1:] == own[:-1], pairs.rank(sym[:-1], sym[1:]), _NONE)
     done_sym, done_own = [], []
+    tested: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     while len(sym):
         start = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
         size = np.diff(np.append(start, len(own)))
@@ -193,12 +220,14 @@ def merge_many(chunks: list[str], keys: list[int], pairs: _Pairs, limit: int) ->
             if not len(sym):
                 break
         at = np.flatnonzero(order == np.repeat(best, size))
-        if limit:
-            skip = _skipped_many(key[own[at]], agenda[at], place[at], limit)
+        if keys is None:
+            tested.append((own[at], agenda[at], place[at]))
+        else:
+            skip = _skipped_many(keys[own[at]], agenda[at], place[at], limit)
             agenda[at[skip]] = _NONE
             at = at[~skip]
-        if not len(at):
-            continue
+            if not len(at):
+                continue
         sym[at] = pairs.made[agenda[at]]
         stay = np.ones(len(sym), bool)
         stay[at + 1] = False
@@ -210,85 +239,166 @@ def merge_many(chunks: list[str], keys: list[int], pairs: _Pairs, limit: int) ->
             agenda[i] = _NONE
             inside = own[j] == own[j + 1]
             agenda[j[inside]] = pairs.rank(sym[j[inside]], sym[j[inside] + 1])
-    if not done_sym:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    sym, own = np.concatenate(done_sym), np.concatenate(done_own)
-    return sym[np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=len(chunks)))
+    none = np.zeros(0, np.int64)
+    sym, own = (np.concatenate(done_sym), np.concatenate(done_own)) if done_sym else (none, none)
+    out = sym[np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=len(chunks)))
+    if keys is not None:
+        return out
+    own, ranks, places = (np.concatenate([t[c] for t in tested]) if tested else none for c in range(3))
+    by = np.argsort(own, kind="stable")
+    return *out, ranks[by], places[by], np.cumsum(np.bincount(own, minlength=len(chunks)))
 
 
-class _Chunks(dict):
-    """Ids (as int32 bytes) by chunk for one variant."""
+class _Flat:
+    """Numbers of many owners end to end; grows by whole batches."""
 
-    def __init__(self, vocabulary: Vocabulary, pairs: _Pairs, dropout: float, seed: int):
-        super().__init__()
-        self.v, self.pairs, self.seed = vocabulary, pairs, seed
-        self.limit = min(int(dropout * 2 ** 32), 2 ** 32)
+    def __init__(self, *kinds):
+        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.columns = [np.zeros(0, k) for k in kinds]
 
-    def key(self, chunk: str) -> int:
-        return xxhash.xxh32_intdigest(chunk.encode("utf-8", "surrogatepass"), self.seed) if self.limit else 0
+    def add(self, counts: np.ndarray, *columns: np.ndarray) -> None:
+        self.begin = np.concatenate((self.begin, len(self.columns[0]) + np.cumsum(counts) - counts))
+        self.count = np.concatenate((self.count, counts))
+        self.columns = [np.concatenate((a, b.astype(a.dtype))) for a, b in zip(self.columns, columns)]
 
-    def learn(self, chunks: list[str]) -> None:
-        """Add chunks: short ones of known characters all at once, the others one by one."""
-        short = []
-        for c in chunks:
-            if len(c) <= _SHORT and c != MARK:
-                short.append(c)
-            else:
-                self[c] = self.alone(c)
-        if not short:
-            return
-        sym, ends = merge_many([c.replace(" ", MARK) for c in short], [self.key(c) for c in short], self.pairs, self.limit)
-        unknown = np.concatenate(([0], np.cumsum(sym >= self.pairs.known)))
-        raw, begin = sym.astype(np.int32).tobytes(), 0
-        for c, end, odd in zip(short, ends.tolist(), (unknown[ends] - unknown[np.concatenate(([0], ends[:-1]))]).tolist()):
-            self[c] = self.alone(c) if odd else raw[4 * begin:4 * end]
-            begin = end
-
-    def alone(self, chunk: str) -> bytes:
-        v, ids = self.v, []
-        if chunk == MARK:
-            parts = []
-            ids = [v.byte_ids[b] for b in MARK.encode()]
-        else:
-            parts = merge(chunk.replace(" ", MARK), v.rank, self.limit, self.key(chunk))
-        for p in parts:
-            known = v.ids.get(p)
-            if known is None:
-                ids += [v.byte_ids[b] for b in p.encode("utf-8", "surrogatepass")]
-            else:
-                ids.append(known)
-        return array("i", ids).tobytes()
+    def places(self, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of all numbers of these owners, one after another; their counts added up)."""
+        count = self.count[owners]
+        ends = np.cumsum(count)
+        return np.repeat(self.begin[owners] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0), ends
+
+
+class _Known:
+    """What chunks become if nothing is skipped: the candidates that come up and the ids."""
+
+    def __init__(self):
+        self.node: dict[str, int] = {}
+        self.odd = np.zeros(0, bool)  # chunks that have to be merged alone
+        self.ids, self.tests = _Flat(np.int32), _Flat(np.int32, np.int8)
+
+    def add(self, chunks: list[str], odd: np.ndarray, n_ids: np.ndarray, ids: np.ndarray, n_tests: np.ndarray, ranks: np.ndarray, places: np.ndarray) -> None:
+        self.node.update(zip(chunks, range(len(self.odd), len(self.odd) + len(chunks))))
+        self.odd = np.concatenate((self.odd, odd))
+        self.ids.add(n_ids, ids)
+        self.tests.add(n_tests, ranks, places)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    low = np.uint64(0xFFFFFFFF)
+    h = ((h ^ (h >> np.uint64(16))) * np.uint64(0x85EBCA6B)) & low
+    h = ((h ^ (h >> np.uint64(13))) * np.uint64(0xC2B2AE35)) & low
+    return h ^ (h >> np.uint64(16))
+
+
+def _keys(documents: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Keys of chunks by document key and place in the text, from 1."""
+    return _mixed(documents ^ ((place.astype(np.uint64) * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)))
+
+
+def _spread(begin: np.ndarray, count: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places [begin, begin + count) of the owners ``at``, one after another."""
+    n = count[at]
+    ends = np.cumsum(n)
+    return np.repeat(begin[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
-        if not 0 <= dropout <= 1 or variants < 1:
-            raise ValueError("dropout must be in [0, 1] and variants at least 1")
+    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
+        if not 0 <= dropout <= 1:
+            raise ValueError("dropout must be in [0, 1]")
         self.vocabulary, self.seed = vocabulary, seed
-        self.variants = variants if dropout else 1
-        pairs = _Pairs(vocabulary)
-        self.chunks = [_Chunks(vocabulary, pairs, dropout, xxhash.xxh32_intdigest(b"%d:%d" % (seed, k))) for k in range(self.variants)]
+        self.limit = min(int(dropout * 2 ** 32), 2 ** 32)
+        self.pairs = _Pairs(vocabulary)
+        self.known = _Known()
         self.cut = re.compile(f" *[^ {MARK}\n]+|{MARK}|\n| +" if vocabulary.cut_lines else f" *[^ {MARK}]+|{MARK}| +").findall
 
-    def variant(self, key: str) -> int:
-        return xxhash.xxh32_intdigest(key.encode("utf-8", "surrogatepass"), self.seed & 0xFFFFFFFF) % self.variants
+    def key(self, name: str) -> int:
+        """A document's key from its id."""
+        return xxhash.xxh32_intdigest(name.encode("utf-8", "surrogatepass"), self.seed & 0xFFFFFFFF)
 
-    def encode_many(self, texts: list[str], variants: list[int]) -> list[np.ndarray]:
-        cuts = [self.cut(" " + t) if t else [] for t in texts]
-        for k, known in enumerate(self.chunks):
-            new = {c for cut, v in zip(cuts, variants) if v == k for c in cut if c not in known}
-            if len(new) + len(known) > _REMEMBERED:  # make room first, then learn all that the batch needs
-                known.clear()
-                new = {c for cut, v in zip(cuts, variants) if v == k for c in cut}
-            known.learn(list(new))
-        out = []
-        for cut, v in zip(cuts, variants):
-            known = self.chunks[v]
-            out.append(np.frombuffer(b"".join([known[c] for c in cut]), np.int32))
-        return out
+    def keys(self, document: int, n: int) -> np.ndarray:
+        """Keys of the n chunks of a document."""
+        return _keys(np.full(n, document, np.uint64), np.arange(1, n + 1))
 
-    def encode(self, text: str, variant: int = 0) -> np.ndarray:
-        return self.encode_many([text], [variant])[0]
+    def alone(self, chunk: str, key: int) -> list[int]:
+        """Ids of one chunk of any kind."""
+        v = self.vocabulary
+        if chunk == MARK:
+            return [v.byte_ids[b] for b in MARK.encode()]
+        ids: list[int] = []
+        for p in merge(chunk.replace(" ", MARK), v.rank, self.limit, key):
+            known = v.ids.get(p)
+            if known is None:
+                ids += [v.byte_ids[b] for b in p.encode("utf-8", "surrogatepass")]
+            else:
+                ids.append(known)
+        return ids
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember new chunks."""
+        none = np.zeros(0, np.int64)
+        long = [c for c in chunks if len(c) > _SHORT or c == MARK]
+        if long:
+            zeros = np.zeros(len(long), np.int64)
+            self.known.add(long, np.ones(len(long), bool), zeros, none, zeros, none, none)
+            chunks = [c for c in chunks if len(c) <= _SHORT and c != MARK]
+        if not chunks:
+            return
+        sym, ends, ranks, places, stops = merge_many(chunks, self.pairs)
+        unknown = np.concatenate(([0], np.cumsum(sym >= self.pairs.known)))[np.concatenate(([0], ends))]
+        odd = np.diff(unknown) > 0  # a symbol without an id
+        n_ids, n_tests = np.diff(ends, prepend=0), np.diff(stops, prepend=0)
+        self.known.add(chunks, odd, np.where(odd, 0, n_ids), sym[~np.repeat(odd, n_ids)],
+                       np.where(odd, 0, n_tests), ranks[~np.repeat(odd, n_tests)], places[~np.repeat(odd, n_tests)])
+
+    def _skipping(self, nodes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Occurrences with a candidate whose hash is below the limit."""
+        at, ends = self.known.tests.places(nodes)
+        ranks, places = (c[at] for c in self.known.tests.columns)
+        hit = np.flatnonzero(_skipped_many(np.repeat(keys, self.known.tests.count[nodes]), ranks, places, self.limit))
+        return np.unique(np.searchsorted(ends, hit, side="right"))
+
+    def encode_many(self, texts: list[str], documents: list[int]) -> list[np.ndarray]:
+        """Ids of whole texts; ``documents`` are the documents' keys."""
+        cuts = [self.cut(" " + t) if t else [] for t in texts]
+        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        chunks = [c for cut in cuts for c in cut]
+        if not chunks:
+            return [np.zeros(0, np.int32) for _ in texts]
+        if len(self.known.odd) > _REMEMBERED:  # a cache: what is needed is learned again
+            self.known = _Known()
+        known = self.known
+        new = set(chunks).difference(known.node)
+        if new:
+            self._learn(list(new))
+        nodes = np.fromiter(map(known.node.__getitem__, chunks), np.int64, len(chunks))
+        place = np.arange(1, len(chunks) + 1) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        keys = _keys(np.repeat(np.array(documents, np.uint64), sizes), place)
+        # the ids of every occurrence: as remembered, merged by its own key, or merged alone
+        count, parts = known.ids.count[nodes], []
+        which = self._skipping(nodes, keys) if self.limit else np.zeros(0, np.int64)
+        odd = np.flatnonzero(known.odd[nodes])
+        own: list[tuple[np.ndarray, np.ndarray]] = []  # (occurrences, their ids end to end)
+        if len(which):
+            sym, ends = merge_many([chunks[i] for i in which.tolist()], self.pairs, self.limit, keys[which])
+            count[which] = np.diff(ends, prepend=0)
+            own.append((which, sym))
+        if len(odd):
+            parts = [self.alone(chunks[i], int(keys[i])) for i in odd.tolist()]
+            count[odd] = [len(x) for x in parts]
+            own.append((odd, np.fromiter((i for x in parts for i in x), np.int64)))
+        ends = np.cumsum(count)
+        out = np.empty(ends[-1], np.int32)
+        plain = np.ones(len(chunks), bool)
+        for at, ids in own:
+            plain[at] = False
+            out[_spread(ends - count, count, at)] = ids
+        kept = np.flatnonzero(plain)
+        out[_spread(ends - count, count, kept)] = known.ids.columns[0][known.ids.places(nodes[kept])[0]]
+        return np.split(out, np.concatenate(([0], ends))[np.cumsum(sizes)[:-1]])
+
+    def encode(self, text: str, document: int = 0) -> np.ndarray:
+        return self.encode_many([text], [document])[0]
 
 
 def decode(ids, vocabulary: Vocabulary) -> str:
@@ -296,29 +406,29 @@ def decode(ids, vocabulary: Vocabulary) -> str:
     return b"".join([raw[i] for i in ids]).decode("utf-8", "surrogatepass")[1:]
 
 
-SCHEMA = "variant int, ids array<int>, lossless boolean"
+SCHEMA = "variant long, ids array<int>, lossless boolean"
 
 
 def encode_texts(docs: DataFrame, keep: list[str], path: str = MODEL_PATH, dropout: float = DROPOUT, seed: int = SEED,
-                 variants: int = VARIANTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The ``keep`` columns plus variant, ids and lossless (the ids were decoded again and gave the text)."""
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ``keep`` columns plus variant (the document's key), ids and lossless (the ids were decoded again and gave the text)."""
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
-        encoder = Encoder(vocabulary, dropout, seed, variants)
+        encoder = Encoder(vocabulary, dropout, seed)
         for whole in batches:
             texts, keys = whole.column(0).to_pylist(), whole.column(1).to_pylist()
             for a, b in pieces_of([len(t or "") for t in texts], 2_000_000):
                 part = texts[a:b]
-                kinds = [encoder.variant(k if k is not None else t or "") for t, k in zip(part, keys[a:b])]
+                kinds = [encoder.key(k if k is not None else t or "") for t, k in zip(part, keys[a:b])]
                 ids = encoder.encode_many([t or "" for t in part], kinds)
                 same = [t is None or decode(x.tolist(), vocabulary) == t for t, x in zip(part, ids)]
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()),
                                                  mask=pa.array([t is None for t in texts[a:b]], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(
-                    [*whole.slice(a, b - a).columns[2:], pa.array(kinds, pa.int32()), lists, pa.array(same, pa.bool_())],
+                    [*whole.slice(a, b - a).columns[2:], pa.array(kinds, pa.int64()), lists, pa.array(same, pa.bool_())],
                     [*keep, "variant", "ids", "lossless"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
