@@ -253,7 +253,7 @@ def distinct_words(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for a, b in pieces_of([len(t) for t in whole.column(0).to_pylist()], 2_000_000):
+            for a, b in pieces_of([len(t) for t in whole.column(0).to_pylist()], 1_000_000):
                 part = whole.slice(a, b - a)
                 tokens = [TOKEN.findall(t) for t in part.column(0).to_pylist()]
                 marks = [_sketch(t) if t else (None, None) for t in tokens]
@@ -290,7 +290,7 @@ def document_counts(words: DataFrame) -> DataFrame:
                 n[label, at] += 1
                 if label:
                     h[at] = np.minimum(h[at], key)
-            if len(known) > 200_000:
+            if len(known) > 100_000:
                 known.clear()
         at = np.flatnonzero(n.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, n[1, at], n[0, at], h[at])], ["feature", "n1", "n0", "h"])
@@ -417,9 +417,9 @@ def tag(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text")
         scores = _Scores(model)
         for whole in batches:
             texts = whole.column(0).to_pylist()
-            for a, b in pieces_of([len(t or "") for t in texts], 2_000_000):
+            for a, b in pieces_of([len(t or "") for t in texts], 1_000_000):
                 score, spans = score_texts(texts[a:b], model, scores)
-                if len(scores) > 500_000:
+                if len(scores) > 200_000:
                     scores.clear()
                 yield pa.RecordBatch.from_arrays(
                     [*whole.slice(a, b - a).columns[1:], pa.array(score, pa.float64()), pa.array(spans, _SPANS)], [*keep, "score", "spans"])
