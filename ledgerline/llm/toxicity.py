@@ -217,8 +217,10 @@ def _climb(model: Model, ids: np.ndarray, first: np.ndarray, y: np.ndarray, tabl
         g[0] = 0
         e, t = np.exp(np.clip(scores[inner], -30, 30)), np.exp(model.step)
         before, after = r[inner - 1], b[inner]
-        x = np.stack((np.full(len(inner), t[0, 0]), t[0, 1] * e * after, before * t[1, 0], before * t[1, 1] * e * after))
-        expected = (x / x.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        pair = [[t[0, 0], t[0, 1] * e * after], [before * t[1, 0], before * t[1, 1] * e * after]]
+        total = ((pair[0][0] + pair[0][1]) + pair[1][0]) + pair[1][1]
+        expected = np.array([[np.sum(x / total) for x in row] for row in pair])
+        del pair, total, e, before, after
         gt = pairs - expected - RIDGE * n / 1000 * model.step
         gs, gb = miss[first].sum(), miss.sum()
         w2 += g * g
