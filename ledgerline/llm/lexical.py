@@ -49,6 +49,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,7 +77,7 @@ def count_terms(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
         get, size = shared.value.get, max(1, len(shared.value))
         for whole in batches:
             raw = whole.column(0).cast(pa.binary())
-            for a, b in pieces_of([len(x or b"") for x in whole.column(0).to_pylist()], 4_000_000):
+            for a, b in pieces_of(pc.fill_null(pc.binary_length(raw), 0).to_pylist(), 4_000_000):
                 found = [terms_of(x) for x in raw.slice(a, b - a).to_pylist()]
                 known = [[t for t in map(get, words) if t is not None] for words in found]
                 flat = np.fromiter((t for x in known for t in x), np.int64)
