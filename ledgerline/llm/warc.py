@@ -49,6 +49,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _FIELDS = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI",
            "refers_to": "WARC-Refers-To", "payload_digest": "WARC-Payload-Digest"}
 MANIFEST = "_MANIFEST"
+BROADCAST_COPIES = 1_000_000  # repeated payloads whose (digest, id) are broadcast, some 100 MB; more are joined by a shuffle
 _BREAKS = re.compile("[\\x00-\\x1f\\x7f]+")
 
 
@@ -402,9 +403,11 @@ def archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str =
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("target_uri"),
                         F.encode(F.coalesce(F.col(content_col), F.lit("")), "UTF-8").alias("payload")) \
         .withColumn("digest", sha1_base32(F.col("payload")))
-    # only (digest, id) is shuffled; a hot payload is one row per task after partial aggregation
+    # only (digest, id) is shuffled, and payloads once if very many of them are repeated; a hot payload is one row per task
+    # after partial aggregation
     same = stored(rows.groupBy("digest").agg(F.max("id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "copies")
-    met = rows.join(same.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d"), "left")
+    same = same.withColumnRenamed("digest", "d")
+    met = rows.join(F.broadcast(same) if same.count() <= BROADCAST_COPIES else same, F.col("digest") == F.col("d"), "left")
     revisit = F.col("original").isNotNull() & ~F.col("id").eqNullSafe(F.col("original"))
     out = met.select(
         F.when(revisit, "revisit").otherwise("response").alias("record_type"), page_urn(F.col("id")).alias("record_id"), "target_uri",
