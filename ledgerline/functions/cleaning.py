@@ -31,17 +31,17 @@ def mapped(col, mapping: Mapping, keep_unmapped: bool = True) -> Column:
 
 
 def map_table(fixes: DataFrame) -> DataFrame:
-    """(bad, good) from the first two columns of ``fixes``; raises if one spelling has two different fixes.
+    """(bad, good) from the first two columns of ``fixes``; a spelling with two different fixes raises when the map is used.
 
     Null spellings are left out (null passes through a value map); repeated equal entries count once.
     """
     bad, good = fixes.columns[:2]
     pairs = fixes.select(F.col(f"`{bad}`").alias("bad"), F.col(f"`{good}`").alias("good")).where("bad is not null")
     one = pairs.groupBy("bad").agg(F.min("good").alias("good"), F.max("good").alias("other"), F.count("good").alias("n"), F.count(F.lit(1)).alias("all"))
-    clash = one.where("good <> other or (n > 0 and n < all)").select("bad").limit(5).collect()
-    if clash:
-        raise ValueError(f"More than one fix for: {', '.join(repr(r['bad']) for r in clash)}")
-    return one.select("bad", "good")
+    clash = F.expr("good <> other or (n > 0 and n < all)")
+    refused = F.raise_error(F.concat(F.lit("More than one fix for: "), F.col("bad").cast("string")))
+    # in the key, so that no plan can leave the check out
+    return one.select(F.when(F.coalesce(clash, F.lit(False)), refused.cast(one.schema["bad"].dataType)).otherwise(F.col("bad")).alias("bad"), "good")
 
 
 def mapped_by_table(df: DataFrame, col: str, fixes: DataFrame, keep_unmapped: bool = True) -> DataFrame:

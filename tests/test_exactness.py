@@ -16,7 +16,8 @@ from ledgerline.functions.ratios import scaled_half_up
 from ledgerline.operators import presale
 from ledgerline.plans.joins import join_dimension
 
-RANKED_OR_IO = {"load_raw", "row_counts", "export_marts", "agent_quarter_rank", "agent_scorecard", "churn_by_size_quartile",
+RANKED_OR_IO = {"load_raw", "row_counts", "export_marts", "load_digests", "mart_digests", "crm_digests",
+                "agent_quarter_rank", "agent_scorecard", "churn_by_size_quartile",
                 "sequential_subscription_ids"}
 
 
