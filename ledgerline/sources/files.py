@@ -14,9 +14,11 @@ directories of part files; ``single_file`` coalesces a small mart to one.
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -191,7 +193,7 @@ def load_raw(spark: SparkSession, plan: Sequence[LoadStep], out_dir: str | None
     """
     if database and not out_dir:
         raise ValueError("a catalog load needs out_dir for the table files")
-    sources = {s.table: read_csv(spark, s.path, s.schema, s.table, multi_line=s.multi_line, ordinal=ordinal) for s in plan}
+    sources = _together(spark, plan, lambda s: read_csv(spark, s.path, s.schema, s.table, multi_line=s.multi_line, ordinal=ordinal))
     if not out_dir:
         return sources
     if database:
@@ -199,16 +201,19 @@ def load_raw(spark: SparkSession, plan: Sequence[LoadStep], out_dir: str | None
     generation = publish.new_generation()
     target = {s.table: f"{out_dir}/{s.table}/{generation}" for s in plan}
     catalog = lambda table, g: f"`{database}`.`{table}__{g.replace('-', '_')}`"
+
+    def checked(step: LoadStep) -> tuple[DataFrame, dict]:
+        table = _write(spark, step, sources[step.table], target[step.table], database and catalog(step.table, generation))
+        done = digest(table).head()
+        if verify and tuple(digest(sources[step.table]).head()) != tuple(done):
+            raise IOError(f"The written rows of {step.table} differ from those of {step.path}")
+        if step.key:
+            publish.check_key(table, step.table, step.key)
+        return table, {"generation": generation, "rows": done["rows"], "digest": done["digest"]}
+
     try:
-        tables = {s.table: _write(spark, s, sources[s.table], target[s.table], database and catalog(s.table, generation)) for s in plan}
-        entries = {}
-        for step in plan:
-            done = digest(tables[step.table]).head()
-            entries[step.table] = {"generation": generation, "rows": done["rows"], "digest": done["digest"]}
-            if verify and tuple(digest(sources[step.table]).head()) != tuple(done):
-                raise IOError(f"The written rows of {step.table} differ from those of {step.path}")
-            if step.key:
-                publish.check_key(tables[step.table], step.table, step.key)
+        written = _together(spark, plan, checked)
+        tables, entries = ({t: w[k] for t, w in written.items()} for k in (0, 1))
         for step in plan:
             for ref in step.references:
                 if ref.table not in tables:
@@ -232,6 +237,16 @@ def load_raw(spark: SparkSession, plan: Sequence[LoadStep], out_dir: str | None
     return tables
 
 
+def _together(spark: SparkSession, plan: Sequence[LoadStep], work: Callable) -> dict:
+    """``work`` of every step, by table: the tables do not depend on each other, so their jobs run side by side.
+
+    The first failure is raised after all have ended.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(len(plan), 8))) as pool:
+        running = {s.table: pool.submit(inheritable_thread_target(spark)(work), s) for s in plan}
+    return {table: r.result() for table, r in running.items()}
+
+
 def _write(spark: SparkSession, step: LoadStep, df: DataFrame, target: str, name: str | None) -> DataFrame:
     """Write one table into its generation and return a frame that reads it."""
     schema = df.schema
