@@ -18,6 +18,7 @@ number of rows only.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 from pyspark.sql import SparkSession
@@ -113,14 +114,19 @@ def cmd_crm(spark: SparkSession, a) -> None:
     read = lambda name, st: files.read_csv(spark, f"{a.raw_dir}/{name}.csv", st, name)
     t = Tables(accounts=read("accounts", schemas.ACCOUNTS), products=read("products", schemas.PRODUCTS),
                sales_teams=spark.createDataFrame([], schemas.SALES_TEAMS),  # not used by the export
-               pipeline=read("sales_pipeline", schemas.SALES_PIPELINE), as_of=a.as_of)
-    files.write_csv(JOBS["crm_accounts"](t), f"{a.out_dir}/crm_accounts_import.csv", a.single_file)
-    files.write_csv(JOBS["crm_opportunities"](t), f"{a.out_dir}/crm_opportunities_import.csv", a.single_file)
+               pipeline=read("sales_pipeline", schemas.SALES_PIPELINE), as_of=a.as_of or dt.date.today())
+    exported = {name: JOBS[name](t) for name in ("crm_accounts", "crm_opportunities")}
+    for name, df in exported.items():
+        files.write_csv(df, f"{a.out_dir}/{name}_import.csv", a.single_file)
     written = files.read_csv(spark, f"{a.out_dir}/crm_opportunities_import.csv", OPPORTUNITY_IMPORT,
                              "opportunities import")
     rec = crm_export.export_reconciliation(t.pipeline, written)
     rec.show()
     crm_export.assert_reconciled(rec)
+    back = {name: files.read_csv(spark, f"{a.out_dir}/{name}_import.csv", df.schema, name) for name, df in exported.items()}
+    content = crm_export.content_reconciliation(exported, back)
+    content.show()
+    crm_export.assert_same_content(content)
     crm_export.value_distribution(written, "Stage").show()
     JOBS["placeholder_counts"](t).show()
     crm_export.value_distribution(written, "Product").show()

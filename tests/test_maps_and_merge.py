@@ -99,3 +99,16 @@ def test_the_last_price_the_first_names_and_the_file_order(spark, parts):
     won = files.read_csv(spark, csv("w.csv", "Opportunity Name,Account Name,Opportunity_ID__c\n" + "".join(f"d,n,{i}\n" for i in (7, 3, 9, 1))), kind, ordinal="place").repartition(parts)
     numbered = subscriptions.number_subscriptions(won, order_by=("place",))
     assert {r["subscription_id"]: r["Opportunity_ID__c"] for r in numbered.collect()} == {"SUB-00001": "7", "SUB-00002": "3", "SUB-00003": "9", "SUB-00004": "1"}
+
+
+def test_a_damaged_import_file_is_found_though_the_counts_agree(spark):
+    deals = spark.createDataFrame([("a", "A", None), ("b", "B", Decimal("2.50"))], "`Opportunity Name` string, `Account Name` string, Amount decimal(38,2)")
+    path = tempfile.mkdtemp(prefix="ledgerline-crm-") + "/o.csv"
+    files.write_csv(deals, path)
+    read = lambda: {"o": files.read_csv(spark, path, deals.schema, "o")}
+    crm_export.assert_same_content(crm_export.content_reconciliation({"o": deals}, read()))
+    files.write_csv(deals.fillna({"Account Name": "x"}).replace("B", "C"), path)
+    found = crm_export.content_reconciliation({"o": deals}, read())
+    assert [tuple(r) for r in found.collect()] == [("o", 2, 2, False)]
+    with pytest.raises(AssertionError, match="content differs"):
+        crm_export.assert_same_content(found)
