@@ -119,3 +119,23 @@ def test_empty_files_and_blank_lines(spark):
         f.write("id,name,note\n")
     assert files.read_csv(spark, path, SCHEMA).count() == 0
     assert files.read_csv(spark, path, SCHEMA, ordinal="o").count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_cells_under_any_splits(spark, seed):
+    rng = random.Random(seed)
+    parts = ['"', ",", "\n", "\r", "\r\n", " ", "a", "b", "é", ""]
+    cell = lambda n: "".join(rng.choice(parts) for _ in range(rng.randrange(n)))
+    rows = [(str(i), cell(9), cell(4)) for i in range(700)]
+    path = write(rows, end=rng.choice(["\n", "\r\n"]))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("400", "3000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            got = files.read_csv(spark, path, SCHEMA, ordinal="place").collect()
+            assert Counter(tuple(r)[:3] for r in got) == expected(rows)
+            assert [r["id"] for r in sorted(got, key=lambda r: r["place"])] == [r[0] for r in rows]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
