@@ -51,6 +51,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -255,7 +256,7 @@ def distinct_words(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for a, b in pieces_of([len(t) for t in whole.column(0).to_pylist()], 1_000_000):
+            for a, b in pieces_of(pc.binary_length(whole.column(0)).to_pylist(), 1_000_000):
                 part = whole.slice(a, b - a)
                 tokens = [TOKEN.findall(t) for t in part.column(0).to_pylist()]
                 marks = [_sketch(t) if t else (None, None) for t in tokens]
@@ -418,9 +419,8 @@ def tag(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text")
         model = shared.value
         scores = _Scores(model)
         for whole in batches:
-            texts = whole.column(0).to_pylist()
-            for a, b in pieces_of([len(t or "") for t in texts], 1_000_000):
-                score, spans = score_texts(texts[a:b], model, scores)
+            for a, b in pieces_of(pc.fill_null(pc.binary_length(whole.column(0)), 0).to_pylist(), 1_000_000):
+                score, spans = score_texts(whole.column(0).slice(a, b - a).to_pylist(), model, scores)
                 if len(scores) > 200_000:
                     scores.clear()
                 yield pa.RecordBatch.from_arrays(
