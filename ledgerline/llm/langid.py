@@ -23,11 +23,13 @@ at the highest order first, what is not there at the next lower one with the
 context's back-off weight. The language with the lowest cross-entropy per
 symbol wins; ties go to the first in the order of names.
 
-Rejection is calibrated: on a bounded sample of training documents (at most
-``calibration`` per language, by keyed hash, and their share of ``sample_bytes``; a text
-of more than a sixteenth of the whole is not sampled) the cross-entropy under the own
-language gives a limit per language (its 99.5th percentile plus a margin), and
-a logistic function of the lead over the second language gives the score.
+Rejection is calibrated on every training row with a letter, repeated rows each time: the
+cross-entropy under the own language gives a limit per language (its 99.5th
+percentile plus a margin, if there are 20 rows), and a logistic function of the lead over the second
+language gives the score. The training rows are scored as documents are later; their few
+numbers are stored, and both come from sums over them: the percentile from counts of one
+byte of the values after the other, the function from Newton steps whose sums are
+decimals, so that neither depends on the order or the partitions of the rows.
 Documents above the limit are marked rejected and keep their best language.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; a
@@ -47,12 +49,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import pieces_of, stored
+from ledgerline.llm.common import drop, pieces_of, stored
 
 ORDER = 4
 BOUNDARY = 1  # symbol of everything that is not a letter; 0 is never a symbol
-CALIBRATION, UNKNOWN = 500, "und"
-MODEL_BYTES, SAMPLE_BYTES = 400_000_000, 32_000_000
+UNKNOWN = "und"
+MODEL_BYTES = 400_000_000
+QUANTILE, LEAST_ROWS = 0.995, 20  # of the own language's cross-entropies, and how many a limit takes
 _CHARS = 2_000_000
 
 _symbols: np.ndarray | None = None
@@ -151,6 +154,10 @@ class Tables:
     limit: np.ndarray | None = None  # highest accepted cross-entropy by language
     lead: np.ndarray | None = None  # logistic function of the lead
 
+    def tables(self) -> Iterator[tuple[int, Tables]]:
+        """The one group."""
+        yield 0, self
+
 
 def _discount(counts: np.ndarray) -> float:
     n1, n2 = int((counts == 1).sum()), int((counts == 2).sum())
@@ -245,8 +252,10 @@ def entropies(texts: list[str], t: Tables) -> tuple[np.ndarray, np.ndarray]:
     logs = _at(t, 0, grams)
     starts = np.concatenate(([0], ends[:-1]))
     letters = np.concatenate(([0], np.cumsum((grams & np.uint64(0xFFFF)) != BOUNDARY)))
-    sums = np.add.reduceat(logs, np.minimum(starts, max(len(logs) - 1, 0)), axis=0) if len(logs) else np.zeros((len(texts), len(t.langs)))
     n = ends - starts
+    sums = np.zeros((len(texts), len(t.langs)))
+    if len(logs):
+        sums[n > 0] = np.add.reduceat(logs, starts[n > 0], axis=0)  # texts without a gram would cut the one before them
     h = np.where(n[:, None] > 0, -sums / np.maximum(n, 1)[:, None], 0.0)
     return h, letters[ends] - letters[starts]
 
@@ -261,11 +270,16 @@ def leaders(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return best, h[rows, best], second
 
 
+def strength(low: np.ndarray, second: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """The lead over the second language, greater for longer texts."""
+    gap = np.where(np.isinf(second), 1.0, second - low)
+    return gap * np.sqrt(np.minimum(letters, 400)) / 4
+
+
 def verdict(best: np.ndarray, low: np.ndarray, second: np.ndarray, letters: np.ndarray, limit, lead) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index of the best language or -1, score, rejected)."""
-    gap = np.where(np.isinf(second), 1.0, second - low)
     a, b = lead if lead is not None else (0.0, 10.0)
-    score = 1 / (1 + np.exp(-np.clip(a + b * gap * np.sqrt(np.minimum(letters, 400)) / 4, -30, 30)))
+    score = 1 / (1 + np.exp(-np.clip(a + b * strength(low, second, letters), -30, 30)))
     rejected = low > limit[best] if limit is not None else np.zeros(len(best), bool)
     none = letters == 0
     return np.where(none, -1, best), np.where(none, 0.0, score), rejected & ~none
@@ -276,24 +290,96 @@ def decide(h: np.ndarray, letters: np.ndarray, t) -> tuple[np.ndarray, np.ndarra
     return verdict(*leaders(h), letters, t.limit, t.lead)
 
 
-def calibrated(langs: list[str], y: np.ndarray, h: np.ndarray, letters: np.ndarray, margin: float = 0.25) -> tuple[np.ndarray, np.ndarray | None]:
-    """(limits, the lead's logistic function) from texts of known languages ``y`` (indexes)."""
-    limit = np.full(len(langs), np.inf)
-    if not len(y):
-        return limit, None
-    for j in range(len(langs)):
-        own = h[y == j, j]
-        if len(own) >= 20:
-            limit[j] = float(np.quantile(own, 0.995)) + margin
-    _, base, _ = verdict(*leaders(h), letters, limit, np.array([0.0, 1.0]))
-    x = np.stack((np.ones(len(y)), np.log(base / (1 - np.minimum(base, 1 - 1e-12)))), axis=1)
-    right = (h.argmin(axis=1) == y).astype(float)
+def sortable(values: np.ndarray) -> np.ndarray:
+    """64-bit integers in the order of the doubles."""
+    bits = (values + 0.0).view(np.int64)  # no negative zero
+    return np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
+
+
+def unsorted(keys: np.ndarray) -> np.ndarray:
+    """The doubles of ``sortable`` integers (the same exchange)."""
+    return np.where(keys < 0, keys ^ np.int64(0x7FFFFFFFFFFFFFFF), keys).view(np.float64)
+
+
+def quantiles(rows: DataFrame, n: int, q: float = QUANTILE, least: int = LEAST_ROWS) -> np.ndarray:
+    """The ``q`` quantile of the values ``key`` (sortable) of each ``y`` below ``n``, as numpy interpolates it; infinity for fewer rows.
+
+    Both values beside the quantile are found byte by byte: each pass counts the rows by the next byte among
+    those that share a value's bytes so far, at most 512 counts a language.
+    """
+    prefix: list[list[int | None]] = [[0] * n, [0] * n]  # of the lower and the upper value; none: no limit
+    rest = [[0] * n, [0] * n]  # its rank among the rows with this prefix
+    part = np.zeros(n)
+    for shift in range(56, -1, -8):
+        chosen = rows
+        if shift < 56:
+            before = F.shiftright("key", shift + 8)
+            low, high = (F.element_at(F.array(*[F.lit(v).cast("long") for v in p]), F.col("y") + 1) for p in prefix)
+            chosen = rows.where((before == low) | (before == high))
+        counts: dict[int, list[tuple[int, int]]] = {}
+        for r in chosen.groupBy("y", F.shiftright("key", shift).alias("b")).count().collect():
+            counts.setdefault(r["y"], []).append((r["b"], r["count"]))
+        for j in range(n):
+            own = sorted(counts.get(j, []))
+            if shift == 56:
+                total = sum(c for _, c in own)
+                at = q * (total - 1)
+                part[j] = at - int(at)
+                enough = total >= least
+                rest[0][j], rest[1][j] = int(at), min(int(at) + 1, total - 1)
+                prefix[0][j] = prefix[1][j] = 0 if enough else None
+            for p, k in zip(prefix, rest):
+                if p[j] is None:
+                    continue
+                for b, c in own:
+                    if shift < 56 and b >> 8 != p[j]:
+                        continue
+                    if k[j] < c:
+                        p[j] = b
+                        break
+                    k[j] -= c
+    out = np.full(n, np.inf)
+    for j in range(n):
+        if prefix[0][j] is not None:
+            out[j] = np.quantile(unsorted(np.array([prefix[0][j], prefix[1][j]], np.int64)), part[j])
+    return out
+
+
+def lead_function(rows: DataFrame, steps: int = 30) -> np.ndarray:
+    """(a, b) of the logistic regression of ``right`` on ``x``, with a prior that keeps a rising function when every row is right."""
     w = np.array([0.0, 1.0])
-    for _ in range(30):  # logistic regression with a prior that keeps a rising function when every row is right
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (right - p) - 1.0 * (w - [0.0, 1.0])
-        w = w + np.clip(np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(2), g), -2, 2)
-    return limit, np.array([w[0], max(w[1], 0.01)])
+    x = F.col("x")
+    for _ in range(steps):
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(F.lit(float(w[0])) + x * float(w[1]), F.lit(30.0)), F.lit(-30.0))))
+        at = rows.select("x", (F.col("right") - p).alias("d"), (p * (F.lit(1.0) - p)).alias("v"))
+        terms = [F.col("d"), F.col("d") * x, F.col("v"), F.col("v") * x, F.col("v") * x * x]
+        d0, d1, v0, v1, v2 = (float(c or 0) for c in at.agg(*[F.sum(c.cast("decimal(38,18)")) for c in terms]).head())
+        g = np.array([d0, d1]) - (w - [0.0, 1.0])
+        step = np.clip(np.linalg.solve(np.array([[v0, v1], [v1, v2]]) + np.eye(2), g), -2, 2)
+        w = w + step
+        if np.abs(step).max() < 1e-12:
+            break
+    return np.array([w[0], max(w[1], 0.01)])
+
+
+def calibrated(known: DataFrame, model: Tables | Grouped, margin: float = 0.25) -> tuple[np.ndarray, np.ndarray]:
+    """(limits, the lead's logistic function) from every row of ``known`` (text, lang) with a letter."""
+    langs = model.langs
+    rows = known.select(F.col("text").cast("string").alias("text"),
+                        (F.array_position(F.array(*map(F.lit, langs)), F.col("lang").cast("string")) - 1).cast("int").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            y, best, low, second, letters, own = (part.column(c).to_numpy() for c in ("y", "best", "low", "second", "letters", "own"))
+            some = letters > 0
+            x = np.minimum(strength(low[some], second[some], letters[some]), 30.0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(y[some]), pa.array(sortable(own[some])), pa.array(x), pa.array((best == y)[some].astype(np.int32))],
+                ["y", "key", "x", "right"])
+
+    scored = _passes(rows, model, []).mapInArrow(run, "y int, key long, x double, right int")
+    numbers = stored(scored, "calibration")
+    return quantiles(numbers, len(langs)) + margin, lead_function(numbers)
 
 
 @dataclass
@@ -342,27 +428,8 @@ def grouped(sizes: dict[str, int], model_bytes: int) -> list[list[str]]:
     return out
 
 
-def _calibration_rows(known: DataFrame, langs: list[str], calibration: int, sample_bytes: int, seed: int) -> list[tuple[str, str]]:
-    """(lang, text) of a bounded sample; whole texts."""
-    h = F.xxhash64(F.lit(seed), "doc_id")
-    ids = None
-    for x in langs:
-        part = known.where(F.col("lang") == x).select("lang", "doc_id").orderBy(h, "doc_id").limit(calibration)
-        ids = part if ids is None else ids.unionByName(part)
-    rows = known.withColumn("size", F.octet_length("text")).where(F.col("size") <= sample_bytes // 16) \
-        .join(F.broadcast(ids.select("doc_id").distinct()), "doc_id").groupBy("doc_id", "lang").agg(F.min("text").alias("text"), F.max("size").alias("size"))
-    rows = stored(rows, "calibration")
-    taken, room = [], {x: sample_bytes // len(langs) for x in langs}
-    for r in rows.select("doc_id", "lang", "size").orderBy(h, "doc_id", "lang").collect():  # a row for each id
-        if r["size"] <= room.get(r["lang"], 0):
-            room[r["lang"]] -= r["size"]
-            taken.append(r["doc_id"])
-    return sorted((r["lang"], r["text"]) for r in rows.where(F.col("doc_id").isin(taken)).collect())
-
-
-def fit(docs: DataFrame, calibration: int = CALIBRATION, seed: int = 11, model_bytes: int = MODEL_BYTES,
-        sample_bytes: int = SAMPLE_BYTES) -> Tables | Grouped | None:
-    """Learn from every row of ``docs`` (doc_id, text, lang) that has a text and a lang."""
+def fit(docs: DataFrame, model_bytes: int = MODEL_BYTES) -> Tables | Grouped | None:
+    """Learn from every row of ``docs`` (text, lang) that has a text and a lang."""
     known = docs.where("text is not null and lang is not null")
     counts = stored(gram_counts(known), "grams")
     sizes = {r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()}  # a row a language
@@ -372,15 +439,7 @@ def fit(docs: DataFrame, calibration: int = CALIBRATION, seed: int = 11, model_b
     model = Grouped(langs, grouped(sizes, model_bytes), counts)
     if len(model.groups) == 1:
         model = build(_gathered(counts, langs))
-    rows = [(x, s) for x, s in _calibration_rows(known, langs, calibration, sample_bytes, seed) if any(c.isalpha() for c in s)]
-    y, texts = np.array([langs.index(x) for x, _ in rows], int), [s for _, s in rows]
-    if isinstance(model, Tables):
-        h, letters = entropies(texts, model)
-    else:
-        h, letters = np.zeros((len(texts), len(langs))), np.zeros(len(texts), int)
-        for first, t in model.tables():
-            h[:, first:first + len(t.langs)], letters = entropies(texts, t)
-    model.limit, model.lead = calibrated(langs, y, h, letters)
+    model.limit, model.lead = calibrated(known, model)
     return model
 
 
@@ -392,46 +451,69 @@ def _named(langs: list[str], best: np.ndarray, score: np.ndarray, low: np.ndarra
     return [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(low, pa.float64(), mask=best < 0), pa.array(rejected, pa.bool_())]
 
 
-def _predict_grouped(docs: DataFrame, model: Grouped, keep: list[str], text_col: str) -> DataFrame:
-    """One stored pass over the documents for each group; the best two values so far travel with the row."""
-    kept, state = [f"c{i}" for i in range(len(keep))], "best int, low double, second double, letters long"
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(n) for c, n in zip(keep, kept)], F.lit(-1).alias("best"),
-                       F.lit(float("inf")).alias("low"), F.lit(float("inf")).alias("second"), F.lit(0).cast("long").alias("letters"))
-    fields = "".join(f"{n} {docs.schema[c].dataType.simpleString()}, " for c, n in zip(keep, kept))
+def _passes(rows: DataFrame, model: Tables | Grouped, kept: list[str]) -> DataFrame:
+    """The ``kept`` columns and y of ``rows`` (text, y, kept) with best, low, second and letters, and own: the cross-entropy under language y.
+
+    One stored pass for each group; the values so far travel with the row, the text as long as a pass follows.
+    A pass is dropped when the next one is stored.
+    """
+    spark, last = rows.sparkSession, len(model.langs)
+    state = ["best", "low", "second", "letters", "own"]
+    kept = ["y", *kept]
+    fields = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in kept) + "best int, low double, second double, letters long, own double"
+    none = F.lit(float("inf"))
+    rows = rows.select("text", *kept, F.lit(-1).alias("best"), none.alias("low"), none.alias("second"), F.lit(0).cast("long").alias("letters"), none.alias("own"))
 
     def scored(rows: DataFrame, first: int, t: Tables) -> DataFrame:
-        shared = rows.sparkSession.sparkContext.broadcast(t)
+        shared, end = spark.sparkContext.broadcast(t), first + len(t.langs)
+        texts_on = ["text"] if end < last else []
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 texts = [s or "" for s in whole.column("text").to_pylist()]
                 for a, b in pieces_of([len(s) for s in texts], _CHARS):
                     part = whole.slice(a, b - a)
-                    best, low, second = (part.column(c).to_numpy() for c in ("best", "low", "second"))
+                    y, best, low, second, own = (part.column(c).to_numpy() for c in ("y", "best", "low", "second", "own"))
                     h, letters = entropies(texts[a:b], shared.value)
-                    own, own_low, own_second = leaders(h)
-                    better = own_low < low  # ties stay with the group before
-                    second = np.where(better, np.minimum(low, own_second), np.minimum(second, own_low))
+                    at, at_low, at_second = leaders(h)
+                    better = at_low < low  # ties stay with the group before
+                    second = np.where(better, np.minimum(low, at_second), np.minimum(second, at_low))
+                    mine = (y >= first) & (y < end)
+                    own = np.where(mine, h[np.arange(b - a), np.where(mine, y - first, 0)], own)
                     yield pa.RecordBatch.from_arrays(
-                        [*part.columns[:1 + len(kept)], pa.array(np.where(better, own + first, best), pa.int32()),
-                         pa.array(np.where(better, own_low, low)), pa.array(second), pa.array(letters, pa.int64())],
-                        ["text", *kept, "best", "low", "second", "letters"])
+                        [*(part.column(c) for c in (*texts_on, *kept)), pa.array(np.where(better, at + first, best), pa.int32()),
+                         pa.array(np.where(better, at_low, low)), pa.array(second), pa.array(letters, pa.int64()), pa.array(own)],
+                        [*texts_on, *kept, *state])
 
-        return stored(rows.mapInArrow(run, f"text string, {fields}{state}"), "scored")
+        out = stored(rows.mapInArrow(run, "text string, " * len(texts_on) + fields), "scored")
+        shared.destroy()
+        return out
 
+    before: list[str] = []
     for first, t in model.tables():
         rows = scored(rows, first, t)
+        for path in before:
+            drop(spark, path)
+        before = [f.rsplit("/", 1)[0] for f in rows.inputFiles()[:1]]
+    return rows
+
+
+def _predict_grouped(docs: DataFrame, model: Grouped, keep: list[str], text_col: str) -> DataFrame:
+    """One stored pass over the documents for each group of languages."""
+    kept = [f"c{i}" for i in range(len(keep))]
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.lit(-1).alias("y"), *[F.col(c).alias(n) for c, n in zip(keep, kept)])
+    rows = _passes(rows, model, kept)
     langs, limit, lead = model.langs, model.limit, model.lead
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             best, low, second, letters = (part.column(c).to_numpy() for c in ("best", "low", "second", "letters"))
             best, score, rejected = verdict(best, low, second, letters, limit, lead)
-            yield pa.RecordBatch.from_arrays([*part.columns[:len(kept)], *_named(langs, best, score, low, rejected)],
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *_named(langs, best, score, low, rejected)],
                                              [*keep, "lang_pred", "score", "cross_entropy", "rejected"])
 
     named = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    return rows.drop("text").mapInArrow(run, f"{named}{_RESULT}")
+    return rows.mapInArrow(run, f"{named}{_RESULT}")
 
 
 def predict(docs: DataFrame, t: Tables | Grouped | None, keep: list[str], text_col: str = "text") -> DataFrame:

@@ -169,3 +169,52 @@ def test_groups_of_languages_give_the_same_rows(spark, edge_docs):
 
     with pytest.raises(ValueError, match="model_bytes"):
         L.fit(docs, model_bytes=1000)
+
+
+def test_calibration_takes_every_training_row(spark):
+    rng = np.random.default_rng(6)
+    words = {"aa": ["kato", "lumi", "sanka", "oro", "vile", "the"], "bb": ["grot", "klimp", "strad", "wurz", "oro", "the"], "cc": ["xiu"]}
+    rows = [(None if i % 7 == 0 else i // 2, " ".join(rng.choice(words[x], rng.integers(1, 6))), x) for i in range(2500) for x in ("aa", "bb")]
+    rows += [(i, "".join(map(chr, rng.integers(97, 123, 30))), "aa") for i in range(9000, 9040)]  # rare and far from the others
+    rows += [(9100, "xiu xiu", "cc"), (9101, "", "aa"), (9102, "12 ..", "bb"), (9103, None, "aa"), (9104, "oro the", None), (9105, " ", "dd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    t = L.fit(docs)
+    known = [(x, s) for _, s, x in rows if x and any(c.isalpha() for c in s or "")]
+    y = np.array([t.langs.index(x) for x, _ in known])
+    h, letters = L.entropies([s for _, s in known], t)
+    assert t.langs == ["aa", "bb", "cc"] and t.limit[2] == np.inf  # one row
+    for j in (0, 1):
+        assert np.isclose(t.limit[j], np.quantile(h[y == j, j], 0.995) + 0.25, rtol=1e-12)
+    low = np.sort(h, axis=1)
+    x = np.stack((np.ones(len(y)), np.minimum((low[:, 1] - low[:, 0]) * np.sqrt(np.minimum(letters, 400)) / 4, 30)), axis=1)
+    right, w = (h.argmin(axis=1) == y).astype(float), np.array([0.0, 1.0])
+    assert 0 < right.mean() < 1
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        w = w + np.clip(np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(2), x.T @ (right - p) - (w - [0.0, 1.0])), -2, 2)
+    assert np.allclose(t.lead, w, rtol=1e-9)
+    again = L.fit(docs.repartition(7))
+    assert np.array_equal(t.limit, again.limit) and np.array_equal(t.lead, again.lead)
+    parts = L.fit(docs, model_bytes=90_000)
+    assert isinstance(parts, L.Grouped) and len(parts.groups) > 1
+    assert np.allclose(parts.limit, t.limit, rtol=1e-12) and np.allclose(parts.lead, t.lead)
+
+
+def test_quantiles_equal_numpy(spark):
+    rng = np.random.default_rng(8)
+    groups = [rng.normal(size=1000), np.round(rng.uniform(0, 3, 777), 1), rng.uniform(size=19), np.zeros(20), np.array([]),
+              np.repeat([-1.5, 2.5], 100), rng.lognormal(0, 60, 333), np.array([-0.0] * 30 + [0.0] * 30)]
+    rows = [(j, int(k)) for j, v in enumerate(groups) for k in L.sortable(v)]
+    frame = spark.createDataFrame(rows, "y int, key long").repartition(5)
+    for q in (0.0, 0.5, 0.995, 1.0):
+        want = [np.quantile(v, q) if len(v) >= 20 else np.inf for v in groups]
+        assert np.array_equal(L.quantiles(frame, len(groups), q), want), q
+    assert np.array_equal(L.unsorted(L.sortable(groups[0])), groups[0])
+
+
+def test_texts_without_letters_change_no_other_text():
+    t = L.build({"x": np.unique(L.four_grams(["the cat sat on the mat"])[0], return_counts=True)})
+    alone = L.entropies(["the hat"], t)[0][0, 0]
+    for texts in (["the hat", ""], ["", "the hat"], ["a", "the hat", "", " .", ""], ["the hat", "", "a"]):
+        h, letters = L.entropies(texts, t)
+        assert h[texts.index("the hat"), 0] == alone and all(h[i, 0] == 0 for i, s in enumerate(texts) if not s.strip(" ."))
