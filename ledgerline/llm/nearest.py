@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import stored
 
 TOP, QUERY_EVERY = 20, 20
-FACTOR = 1.1
+FACTOR = 1.05
 SHARD_ROWS, LEAF = 16_384, 256
 MARGIN = 1e-9
 
